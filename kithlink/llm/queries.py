@@ -24,6 +24,45 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), WORD_VOCABULARY, limit=2048)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kithlink.llm.grades import classify_quality
+
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from kithlink.llm.topk import exact_top_k
+
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP7_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select a.vec_id as query_id, b.vec_id as vec_id,
+    cast(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])), 0) as bigint) as score
+  from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+  where a.vec_id % 50 = 0
+), ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+  from pairs
+)
+select * from ranked where rank <= 5
+"""
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kithlink.llm.grades import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kithlink.llm.pieces import piece_digests
 
@@ -31,8 +70,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_shards, op3_token_counts, op10_sentencepiece)}
+    return {f.__name__: f for f in (op2_token_shards, op3_token_counts, op4_quality, op7_top_k, op8_toxicity, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_top_k": OP7_SQL}

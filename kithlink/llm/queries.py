@@ -30,6 +30,40 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kithlink.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP5_SQL = r"""
+with d as (
+  select doc_id, row_number() over () as r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), b as (
+  select item_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark where text is not null and item_id is not null
+), win as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') as t
+  from b, unnest(range(1, len(w) - least(len(w), 10) + 2)) as u(i) where len(w) > 0
+), spans as (
+  select r, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as t
+  from d, (select distinct n from win) s, unnest(range(1, len(w) - n + 2)) as u(i)
+), found as (
+  select r, i, s.n, item_id from spans s join win on s.n = win.n and s.t = win.t
+), hit as (
+  select r, count(distinct p) as n_hit from found, unnest(range(i, i + n)) as u(p) group by r
+), named as (
+  select r, count(*) as n_items, string_agg(x, ',' order by x) as items from (select distinct r, cast(item_id as varchar) as x from found) group by r
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (r) left join named using (r)
+"""
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -63,6 +97,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kithlink.llm.lines import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kithlink.llm.pieces import piece_digests
 
@@ -70,8 +110,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_shards, op3_token_counts, op4_quality, op7_top_k, op8_toxicity, op10_sentencepiece)}
+    return {f.__name__: f for f in (op2_token_shards, op3_token_counts, op4_quality, op5_decontaminate, op7_top_k, op8_toxicity, op9_lines, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_top_k": OP7_SQL}
+    return {"op5_decontaminate": OP5_SQL, "op7_top_k": OP7_SQL}

@@ -64,6 +64,36 @@ from d left join hit using (r) left join named using (r)
 """
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kithlink.llm.jaccard import near_duplicate_groups
+
+    return near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select distinct doc_id, array_to_string(list_slice(w, i, i + least(len(w), 5) - 1), ' ') as t
+  from d, unnest(range(1, len(w) - least(len(w), 5) + 2)) as u(i) where len(w) > 0
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), link as (
+  select a.doc_id as x, b.doc_id as y
+  from s a join s b on a.t = b.t and a.doc_id <> b.doc_id join n p on p.doc_id = a.doc_id join n q on q.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, p.n, q.n
+  having 100 * count(*) >= 75 * (p.n + q.n - count(*))
+), reach(x, y) as (
+  select doc_id, doc_id from d
+  union
+  select r.x, l.y from reach r join link l on r.y = l.x
+)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, min(r.y) as component_id
+from d left join n on n.doc_id = d.doc_id join reach r on r.x = d.doc_id group by d.doc_id, n.n
+"""
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -110,8 +140,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_shards, op3_token_counts, op4_quality, op5_decontaminate, op7_top_k, op8_toxicity, op9_lines, op10_sentencepiece)}
+    return {f.__name__: f for f in (op2_token_shards, op3_token_counts, op4_quality, op5_decontaminate, op6_jaccard, op7_top_k, op8_toxicity, op9_lines, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": OP5_SQL, "op7_top_k": OP7_SQL}
+    return {"op5_decontaminate": OP5_SQL, "op6_jaccard": OP6_SQL, "op7_top_k": OP7_SQL}

@@ -12,6 +12,12 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kithlink.llm.passages import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kithlink.llm.sstable import read_shards, write_shards
 
@@ -140,7 +146,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_shards, op3_token_counts, op4_quality, op5_decontaminate, op6_jaccard, op7_top_k, op8_toxicity, op9_lines, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_passages, op2_token_shards, op3_token_counts, op4_quality, op5_decontaminate, op6_jaccard, op7_top_k, op8_toxicity, op9_lines, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -221,16 +221,16 @@ class PieceModel:
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
 
-    def digest(self, text: str) -> tuple[int, str, str, int]:
-        """Number of ids, sha256 of the ids and of the decoded text, and the source bytes that the spans cover."""
+    def digest(self, text: str) -> tuple[int, str, str, int, list[int]]:
+        """Number of ids, sha256 of the ids and of the decoded text, the source bytes that the spans cover, and the ids."""
         entries, source = self._segment(text)
         ids, begins, ends = self._spans(entries, source)
         listed = ",".join([e[1] for e in entries])
         covered = int(np.maximum(0, ends - np.maximum(begins, np.concatenate(([0], np.maximum.accumulate(ends)[:-1])))).sum()) if ids else 0
-        return len(ids), _sha(listed), _sha(self.decode(ids)), covered
+        return len(ids), _sha(listed), _sha(self.decode(ids)), covered, ids
 
 
-    def digests(self, texts: pa.Array) -> list[tuple[int, str, str, int]]:
+    def digests(self, texts: pa.Array) -> list[tuple]:
         """digest() of each text. Where the map is empty and no spaces meet, whole batches go column by column."""
         rows: list = [None] * len(texts)
         even = np.zeros(len(texts), bool)
@@ -246,7 +246,7 @@ class PieceModel:
                 rows[i] = row
         return rows
 
-    def _digest_columns(self, texts: pa.Array) -> list[tuple[int, str, str, int]]:
+    def _digest_columns(self, texts: pa.Array) -> list[tuple]:
         lists = pc.split_pattern(texts, " ")
         bounds = lists.offsets.to_numpy()
         bounds = bounds - bounds[0]
@@ -274,7 +274,7 @@ class PieceModel:
         span[lengths == 0] = 0
         covered = np.add.reduceat(span, running[:-1])
         decode, bounds = self.library.decode, running.tolist()
-        return [(b - a, _sha(listed), _sha(decode(ids[a:b].tolist())), int(c)) for a, b, listed, c in zip(bounds, bounds[1:], joined, covered)]
+        return [(b - a, _sha(listed), _sha(decode(own := ids[a:b].tolist())), int(c), own) for a, b, listed, c in zip(bounds, bounds[1:], joined, covered)]
 
 
 def _sha(text: str) -> str:
@@ -330,20 +330,29 @@ def decode_pieces(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", i
 def piece_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode every text; return only digests: n_tokens, ids_sha256, decoded_sha256, covered_bytes.
 
-    The arrays of encode_pieces stay in the worker, so nothing but a short row a document leaves it.
-    Null and empty texts: 0 tokens, digests of empty strings.
+    The ids and spans stay in the worker, so nothing but a short row a document leaves it.
+    Null and empty texts: 0 tokens, digests of empty strings. Repeated rows each give a row; other columns are not read.
     """
+    columns = [("n_tokens", pa.int64(), 0), ("ids_sha256", pa.string(), 1), ("decoded_sha256", pa.string(), 2), ("covered_bytes", pa.int64(), 3)]
+    return _digested(docs, vocabulary, columns, "n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long", id_col, text_col)
 
+
+def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id, n_tokens, ids array<int>, decoded_sha256, covered_bytes; cases as in piece_digests."""
+    columns = [("n_tokens", pa.int64(), 0), ("ids", pa.list_(pa.int32()), 4), ("decoded_sha256", pa.string(), 2), ("covered_bytes", pa.int64(), 3)]
+    return _digested(docs, vocabulary, columns, "n_tokens long, ids array<int>, decoded_sha256 string, covered_bytes long", id_col, text_col)
+
+
+def _digested(docs: DataFrame, vocabulary: str, columns: list[tuple], schema: str, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(vocabulary)
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             for a, b in byte_batches(utf8_lengths(texts), 4 << 20):
                 rows = pieces.digests(texts.slice(a, b - a))
-                kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], ["id", "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array([r[k] for r in rows], kind) for _, kind, k in columns)], ["id", *(n for n, _, _ in columns)])
 
-    return _over(docs, run, "n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long", id_col, text_col)
+    return _over(docs, run, schema, id_col, text_col)
 
 
 def _over(docs: DataFrame, run, columns: str, id_col: str, text_col: str) -> DataFrame:

@@ -1,11 +1,622 @@
-"""The registered queries of the record-linkage operators, and their SQL."""
+"""The registered queries of the record-linkage operators, over whole tables, and their SQL.
+
+The tables hold no business records, so documents stand in: a document's number gives its source, its first words are a name, the
+next ones with numbers made from its length an address. Equal texts in different sources are the truth.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kithlink.functions import address as A
+from kithlink.functions import phonetic as P
+from kithlink.functions import similarity as S
+from kithlink.functions import text as T
+from kithlink.functions.dictionaries import ADDRESS, ADDRESS_STOPWORDS, COMMON_ADDRESS_TOKENS, NAME_STOPWORDS, SUFFIXES
+from kithlink.operators import blocking, metrics, resolve, tfidf, validate
+from kithlink.operators.features import feature_matrix, with_tfidf
+from kithlink.operators.models import WEIGHTS, BalancedLogistic, Ensemble, combined
+from kithlink.operators.neighbours import nearest
+
+Query = Callable[[SparkSession, str], DataFrame]
+NATIVE = {"use_metaphone": False, "use_nysiis": False}
+TOP = 20
+
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(function: Query) -> Query:
+        _QUERIES[function.__name__] = function
+        if sql is not None:
+            _SQL[function.__name__] = sql
+        return function
+
+    return add
+
+
+# -- the stand-in tables, in Spark and in SQL ------------------------------------------------------
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source, id, row, name, address."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    w = F.split(F.trim(F.regexp_replace("text", r"[ \t\n\f\r]+", " ")), " ")
+    source = F.pmod("doc_id", F.lit(3)) + 1
+    code = F.lpad((F.col("n_chars") * 7919 % 100000).cast("string"), 5, "0")
+    address = F.concat_ws(" ", (F.col("n_chars") % 997 + 1).cast("string"), F.array_join(F.slice(w, 6, 10), " "), code)
+    return docs.select(
+        F.concat(F.lit("source"), source.cast("string")).alias("source"), F.concat(F.lit("S"), source.cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("id"),
+        F.col("doc_id").alias("row"), F.array_join(F.slice(w, 1, 5), " ").alias("name"), address.alias("address"),
+    )
+
+
+def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source1_id, candidate_id) with equal texts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.xxhash64("text").alias("h"), F.length("text").alias("n"), F.pmod("doc_id", F.lit(3)).alias("s"))
+    name = lambda c: F.concat(F.lit("S"), (F.pmod(c, F.lit(3)) + 1).cast("string"), F.lit("-"), c.cast("string"))
+    left, right = docs.filter("s = 0").select("h", "n", name(F.col("doc_id")).alias("source1_id")), docs.filter("s <> 0").select("h", "n", name(F.col("doc_id")).alias("candidate_id"))
+    return left.join(right, ["h", "n"]).select("source1_id", "candidate_id")
+
+
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).filter("source = 'source1'").select(F.col("id").alias("source1_id"))
+
+
+def _lit(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _map(table: dict[str, str]) -> str:
+    return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in sorted(table.items())) + "}"
+
+
+def _words(x: str) -> str:
+    return f"list_filter(string_split(trim(regexp_replace({x}, '\\s+', ' ', 'g')), ' '), lambda w: w <> '')"
+
+
+_PUNCTUATION = T.PUNCTUATION.replace("'", "''")
+_BLANKS = " " * len(T.PUNCTUATION)
+
+
+def _plain(x: str, profile: str) -> str:
+    low = f"lower(strip_accents({x}))"
+    return f"translate({low}, '{_PUNCTUATION}', '{_BLANKS}')" if profile == "main" else f"regexp_replace({low}, '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g')"
+
+
+RECORDS_SQL = """
+  recs as (
+    select 'source' || (doc_id % 3 + 1) as source, 'S' || (doc_id % 3 + 1) || '-' || doc_id as id, doc_id as row,
+      array_to_string(list_slice(w, 1, 5), ' ') as name,
+      (n_chars % 997 + 1) || ' ' || array_to_string(list_slice(w, 6, 15), ' ') || ' ' || lpad(cast(n_chars * 7919 % 100000 as varchar), 5, '0') as address
+    from (select doc_id, n_chars, string_split(trim(regexp_replace(text, '[ \\t\\n\\f\\r]+', ' ', 'g')), ' ') as w from documents)
+  )"""
+
+
+def _forms(profile: str) -> str:
+    """CTEs recs and r, the latter with nn and na."""
+    return f"""with {RECORDS_SQL}, cut as (
+    select *, {_words(_plain("name", profile))} as nw, {_words(_plain("address", profile))} as aw from recs
+  ), r as (
+    select source, id, row, name, address,
+      array_to_string(list_transform(nw, lambda t, i: case when i > len(nw) - 3 then coalesce({_map(SUFFIXES[profile])}[rtrim(t, '.,')], t) else t end), ' ') as nn,
+      array_to_string(list_transform(aw, lambda t: coalesce({_map(ADDRESS[profile])}[rtrim(t, '.,')], t)), ' ') as na
+    from cut
+  )"""
+
+
+TRUTH_SQL = """truth as (
+    select 'S1-' || a.doc_id as source1_id, 'S' || (b.doc_id % 3 + 1) || '-' || b.doc_id as candidate_id
+    from documents a join documents b on a.text = b.text where a.doc_id % 3 = 0 and b.doc_id % 3 <> 0
+  )"""
+
+
+def _tokens(x: str, least: int, stop: list[str] | None = None) -> str:
+    more = f" and not list_contains({_lit(stop)}, t)" if stop else ""
+    return f"list_filter({_words(x)}, lambda t: length(t) >= {least}{more})"
+
+
+def _grams(x: str, n: int = 3) -> str:
+    return f"case when length({x}) >= {n} then list_transform(range(1, length({x}) - {n} + 2), lambda i: substring({x}, i, {n})) when {x} = '' then [] else [{x}] end"
+
+
+def _forms_of(spark: SparkSession, sf_dir: str, profile: str) -> DataFrame:
+    return blocking.with_normal_forms(records(spark, sf_dir), profile)
+
+
+# -- normal forms, tokens, parts -------------------------------------------------------------------
+
+
+@query(_forms("main") + " select id, nn, na from r")
+def st14_normal_forms_main(spark, sf_dir):
+    return _forms_of(spark, sf_dir, "main").select("id", "nn", "na")
+
+
+@query(_forms("evaluate") + " select id, nn, na from r")
+def st15_normal_forms_evaluate(spark, sf_dir):
+    return _forms_of(spark, sf_dir, "evaluate").select("id", "nn", "na")
+
+
+@query(f"with {RECORDS_SQL} select id, translate(name, '{_PUNCTUATION}', '') as bare, lower(strip_accents(name)) as folded, trim(regexp_replace(address, '\\s+', ' ', 'g')) as spaced from recs")
+def st01_clean_text(spark, sf_dir):
+    return records(spark, sf_dir).select("id", T.remove_punctuation(F.col("name")).alias("bare"), F.lower(T.fold(F.col("name"))).alias("folded"), T.collapse_whitespace(F.col("address")).alias("spaced"))
+
+
+@query(
+    _forms("main") + f""" select id, array_to_string({_tokens("nn", 2)}, '|') as tokens, array_to_string({_tokens("nn", 3, NAME_STOPWORDS)}, '|') as content,
+  array_to_string(list_sort(list_distinct(list_filter({_tokens("na", 2)}, lambda t: not list_contains({_lit(COMMON_ADDRESS_TOKENS)}, t)))), '|') as landmarks,
+  array_to_string({_grams("replace(nn, ' ', '')")}, '|') as grams from r"""
+)
+def st16_tokens(spark, sf_dir):
+    r, join = _forms_of(spark, sf_dir, "main"), lambda c: F.array_join(c, "|")
+    nn = F.col("nn")
+    return r.select("id", join(T.tokens(nn)).alias("tokens"), join(T.tokens(nn, 3, NAME_STOPWORDS)).alias("content"), join(F.array_sort(T.landmark_tokens(F.col("na")))).alias("landmarks"), join(T.ngrams(nn)).alias("grams"))
+
+
+_POSTAL_MAIN = """coalesce(nullif(regexp_extract({x}, '\\b\\d{{5}}(?:-\\d{{4}})?\\b'), ''),
+  upper(replace(nullif(regexp_extract({x}, '\\b[A-Za-z]\\d[A-Za-z]\\s?\\d[A-Za-z]\\d\\b'), ''), ' ', '')),
+  upper(replace(nullif(regexp_extract({x}, '\\b[A-Za-z]{{1,2}}\\d[A-Za-z\\d]?\\s?\\d[A-Za-z]{{2}}\\b'), ''), ' ', '')),
+  nullif(regexp_extract({x}, '\\b\\d{{4,6}}\\b'), ''), '')"""
+_POSTAL_EVALUATE = "coalesce(nullif(regexp_extract({x}, '\\b(\\d{{5}})(?:-\\d{{4}})?\\b', 1), ''), regexp_extract({x}, '\\b\\d{{4,6}}\\b'))"
+_STREET = "trim(regexp_replace(regexp_replace(rest, '^\\d+[A-Za-z]?(?:-\\d+)?\\s+', ''), '(?i)\\s+(?:ste|suite|unit|apt|apartment|#)\\s+[\\w-]+', '', 'g'))"
+_PARTS = f"""p as (select *, {_POSTAL_MAIN.format(x="na")} as postal from r), q as (select *, case when postal <> '' then replace(na, postal, '') else na end as rest from p),
+  parts as (select *, regexp_extract(rest, '\\b(\\d+[A-Za-z]?(?:-\\d+)?)\\b', 1) as house, {_STREET} as street, trim(rest) as city from q)"""
+
+
+@query(_forms("main") + f", {_PARTS} select id, house as house_number, street, city, '' as state, postal as postal_code from parts")
+def ad06_address_components(spark, sf_dir):
+    r = _forms_of(spark, sf_dir, "main").select("id", A.address_components(F.col("na")).alias("c"))
+    return r.select("id", "c.house_number", "c.street", "c.city", "c.state", "c.postal_code")
+
+
+@query(_forms("evaluate") + f" select id, {_POSTAL_EVALUATE.format(x='na')} as postal, regexp_extract(na, '\\b(\\d+[A-Za-z]?)\\b', 1) as house, '' as city, na as state from r")
+def ad02_address_parts_evaluate(spark, sf_dir):
+    na = F.col("na")
+    r = _forms_of(spark, sf_dir, "evaluate")
+    return r.select("id", A.postal_code(na, "evaluate").alias("postal"), A.house_number(na, "evaluate").alias("house"), A.comma_part(na, -2).alias("city"), A.comma_part(na, -1).alias("state"))
+
+
+def _collapse(x: str) -> str:
+    """RE2 has no back references: each coded character's runs in turn."""
+    for c in "123456":
+        x = f"regexp_replace({x}, '{c}+', '{c}', 'g')"
+    return x
+
+
+_UPPER = "upper(replace(nn, 'ß', 'ss'))"  # as Java and Unicode have it
+_SOUNDEX_MAIN = f"""case when nn = '' then '0000' else rpad({_UPPER}[1] || substring({_collapse(f"translate(regexp_replace({_UPPER}, '[^{P.CODED}]', '', 'g'), '{P.CODED}', '{P.CODES}')")},
+  case when list_contains(string_split('{P.CODED}', ''), {_UPPER}[1]) then 2 else 1 end), 4, '0') end"""
+
+
+@query(_forms("main") + f" select id, {_SOUNDEX_MAIN} as soundex from r")
+def ph01_soundex_main(spark, sf_dir):
+    return _forms_of(spark, sf_dir, "main").select("id", P.soundex(F.col("nn")).alias("soundex"))
+
+
+_RUNS = f"string_split({_UPPER}[1] || translate(substring({_UPPER}, 2), '{P.CODED}0', '{P.CODES}'), '')"
+_SOUNDEX_EVALUATE = f"case when nn = '' then '0000' else rpad(array_to_string(list_filter({_RUNS}, lambda c, i: i = 1 or c <> {_RUNS}[i - 1]), ''), 4, '0') end"
+
+
+@query(_forms("evaluate") + f" select id, {_SOUNDEX_EVALUATE} as soundex from r")
+def ph02_soundex_evaluate(spark, sf_dir):
+    return _forms_of(spark, sf_dir, "evaluate").select("id", P.soundex(F.col("nn"), "evaluate").alias("soundex"))
+
+
+@query()
+def ph03_metaphone_nysiis(spark, sf_dir):
+    return _forms_of(spark, sf_dir, "main").select("id", P.metaphone("nn").alias("metaphone"), P.nysiis("nn").alias("nysiis"))
+
+
+# -- similarities, on neighbouring records ---------------------------------------------------------
+
+
+def _neighbours(spark, sf_dir, profile):
+    r = _forms_of(spark, sf_dir, profile)
+    left = r.select(F.col("row").alias("a"), F.col("nn").alias("x"), F.col("na").alias("u"))
+    return left.join(r.select((F.col("row") - 1).alias("a"), F.col("nn").alias("y"), F.col("na").alias("v")), "a")
+
+
+_PAIRS = "n as (select p.row as a, p.nn as x, q.nn as y, p.na as u, q.na as v from r p join r q on q.row = p.row + 1)"
+
+
+def _set_sql(kind: str, x: str, y: str) -> str:
+    common, union = f"len(list_intersect({x}, {y}))", f"len(list_distinct(list_concat({x}, {y})))"
+    small, large = f"least(len(list_distinct({x})), len(list_distinct({y})))", f"greatest(len(list_distinct({x})), len(list_distinct({y})))"
+    if kind == "jaccard":
+        return f"round(case when {union} = 0 then 1.0 else {common} / {union} end, 6)"
+    if kind == "main":
+        return f"round(case when {large} = 0 then 1.0 when {small} = 0 then 0.0 else {common} / {small} end, 6)"
+    return f"round({common} / greatest({large}, 1), 6)"
+
+
+@query(
+    _forms("main") + f""", {_PAIRS}, t as (select *, {_tokens("x", 2)} as s, {_tokens("y", 2)} as t from n)
+  select a, {_set_sql("jaccard", "s", "t")} as jaccard, {_set_sql("main", "s", "t")} as overlap, {_set_sql("evaluate", "s", "t")} as overlap_evaluate,
+    round(least(len(s), len(t)) / greatest(len(s), len(t), 1), 6) as count_ratio,
+    round(case when greatest(length(x), length(y)) = 0 then 1.0 else 1.0 - levenshtein(translate(x, 'ß', 's'), translate(y, 'ß', 's')) / greatest(length(x), length(y)) end, 6) as levenshtein,
+    case when x <> '' and y <> '' and string_split(x, ' ')[1] = string_split(y, ' ')[1] then 1.0::double else 0.0::double end as prefix,
+    case when x <> '' and y <> '' and string_split(x, ' ')[-1] = string_split(y, ' ')[-1] then 1.0::double else 0.0::double end as suffix from t"""
+)
+def sm01_string_similarities(spark, sf_dir):
+    n = _neighbours(spark, sf_dir, "main").withColumn("s", T.tokens(F.col("x"))).withColumn("t", T.tokens(F.col("y")))
+    s, t, x, y = (F.col(c) for c in ("s", "t", "x", "y"))
+    plain = lambda c: F.translate(c, "ß", "s")
+    return n.select(
+        "a", F.round(S.jaccard(s, t), 6).alias("jaccard"), F.round(S.overlap_ratio(s, t), 6).alias("overlap"), F.round(S.overlap_ratio(s, t, "evaluate"), 6).alias("overlap_evaluate"),
+        F.round(S.count_ratio(s, t), 6).alias("count_ratio"), F.round(S.levenshtein_similarity(plain(x), plain(y)), 6).alias("levenshtein"), S.same_word(x, y, 1).alias("prefix"), S.same_word(x, y, -1).alias("suffix"),
+    )
+
+
+@query()
+def sm04_jaro_winkler(spark, sf_dir):
+    n = _neighbours(spark, sf_dir, "main")
+    return n.select("a", F.round(S.jaro_winkler("x", "y"), 9).alias("name"), F.round(S.jaro_winkler("u", "v"), 9).alias("address"))
+
+
+# -- blocking --------------------------------------------------------------------------------------
+
+
+def _one(prefix: str, value: str, condition: str) -> str:
+    return f"case when {condition} then ['{prefix}' || {value}] else [] end"
+
+
+def _many(prefix: str, values: str) -> str:
+    return f"list_transform({values}, lambda v: '{prefix}' || v)"
+
+
+_EVALUATE_KEYS = f"""k0 as (select *, {_tokens("nn", 3)} as n, {_tokens("na", 3)} as a, {_POSTAL_EVALUATE.format(x="na")} as postal, {_SOUNDEX_EVALUATE} as sdx from r),
+  k1 as (select source, id, row, {_one("nf:", "n[1]", "len(n) >= 1")} || {_one("n2:", "n[1] || '_' || n[2]", "len(n) >= 2")} || {_many("nt:", "list_slice(n, 1, 5)")}
+    || {_many("ng:", "flatten(list_transform(list_slice(n, 1, 3), lambda t: list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3))))")} || ['sdx:' || sdx]
+    || {_one("pp:", "substring(postal, 1, 3)", "postal <> ''")} || {_one("pf:", "postal", "postal <> ''")} || {_many("at:", "list_slice(a, 1, 3)")} || {_one("a2:", "a[1] || '_' || a[2]", "len(a) >= 2")}
+    || {_one("cx:", "n[1] || '_' || substring(postal, 1, 3)", "len(n) > 0 and postal <> ''")} || {_one("cxa:", "n[1] || '_' || a[1]", "len(n) > 0 and len(a) > 0")} as keys from k0),
+  keyed as (select source, id, row, i - 1 as place, keys[i] as key from k1, unnest(range(1, len(keys) + 1)) as u(i))"""
+
+
+@query(_forms("evaluate") + f", {_EVALUATE_KEYS} select id, cast(place as integer) as place, key from keyed")
+def bk05_evaluate_keys(spark, sf_dir):
+    return blocking.keyed(records(spark, sf_dir), "evaluate").select("id", "place", "key")
+
+
+_CITY = f"array_to_string(list_transform({_words('city')}, lambda t, i: case when i > len({_words('city')}) - 3 then coalesce({_map(SUFFIXES['main'])}[t], t) else t end), ' ')"
+_MAIN_KEYS = f"""{_PARTS}, k0 as (select *, {_tokens("nn", 3, NAME_STOPWORDS)} as n, {_tokens("street", 3, ADDRESS_STOPWORDS)} as s, {_words("nn")} as nw, {_words("na")} as aw, replace(na, ' ', '') as bare,
+    translate(city, '{_PUNCTUATION}', '{_BLANKS}') as city_plain, {_SOUNDEX_MAIN} as sdx from parts),
+  k1 as (select source, id, row, case when len(n) = 0 then ['_empty_'] else {_one("name_first:", "n[1]", "len(n) >= 1")} || {_one("name_first2:", "n[1] || '_' || n[2]", "len(n) >= 2")} || {_many("name_token:", "list_slice(n, 1, 5)")}
+    || {_many("name_ngram:", "flatten(list_transform(list_slice(n, 1, 3), lambda t: list_slice(list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3)), 1, 5)))")} || ['name_soundex:' || sdx] end
+    || {_one("postal_prefix:", "substring(postal, 1, 3)", "postal <> ''")} || {_one("postal_full:", "postal", "postal <> ''")} || {_one("house_num:", "house", "house <> ''")} || {_many("street_token:", "list_slice(s, 1, 3)")}
+    || {_one("city:", _CITY.replace("city", "city_plain"), "city <> ''")} || {_many("addr_ngram:", f"list_slice({_grams('bare')}, 1, 10)")}
+    || {_one("cross:", "nw[1] || '_' || substring(postal, 1, 3)", "len(nw) > 0 and postal <> ''")} || {_one("cross_first:", "nw[1] || '_' || aw[1]", "len(nw) > 0 and len(aw) > 0")} as keys from k0),
+  keyed as (select source, id, row, i - 1 as place, keys[i] as key from k1, unnest(range(1, len(keys) + 1)) as u(i))"""
+
+
+@query(_forms("main") + f", {_MAIN_KEYS} select id, cast(place as integer) as place, key from keyed")
+def bk04_main_keys(spark, sf_dir):
+    return blocking.keyed(records(spark, sf_dir), "main", NATIVE).select("id", "place", "key")
+
+
+@query()
+def bk01_main_keys_phonetic(spark, sf_dir):
+    return blocking.keyed(records(spark, sf_dir), "main").select("id", "place", "key")
+
+
+_COUNTS = """c as (select key, source, id, count(*) as n, min(place) as place, min(row) as row from keyed group by all),
+  counts as (select x.id as source1_id, y.source, y.id as candidate_id, sum(x.n * y.n) as shared, min((x.place, y.source, y.row)) as met
+    from c x join c y on x.key = y.key where x.source = 'source1' and y.source <> 'source1' group by all)"""
+_TOP = f"""top as (select source1_id, candidate_id, source, cast(shared as bigint) as shared, cast(rank as integer) as rank from (
+    select *, row_number() over (partition by source1_id order by shared desc, met, candidate_id) as rank from counts) where rank <= {TOP})"""
+
+
+@query(_forms("evaluate") + f", {_EVALUATE_KEYS}, {_COUNTS}, {_TOP} select * from top")
+def sl01_top_candidates(spark, sf_dir):
+    return blocking.block(records(spark, sf_dir), "evaluate", TOP)
+
+
+@query(_forms("main") + f", {_MAIN_KEYS}, {_COUNTS}, {_TOP} select * from top")
+def jn01_top_candidates_main(spark, sf_dir):
+    return blocking.block(records(spark, sf_dir), "main", TOP, NATIVE)
+
+
+@query(_forms("evaluate") + f", {_EVALUATE_KEYS}, {_COUNTS} select source, cast(count(*) as bigint) as pairs, cast(sum(shared) as bigint) as shared, cast(max(shared) as bigint) as most from counts group by source")
+def jn02_candidate_counts(spark, sf_dir):
+    counts = blocking.candidate_counts(blocking.keyed(records(spark, sf_dir), "evaluate"))
+    return counts.groupBy("source").agg(F.count(F.lit(1)).alias("pairs"), F.sum("shared").alias("shared"), F.max("shared").alias("most"))
+
+
+@query(_forms("evaluate") + f", {_EVALUATE_KEYS} select count(distinct key) as index_size from keyed")
+def ag09_index_size(spark, sf_dir):
+    return blocking.index_size(blocking.keyed(records(spark, sf_dir), "evaluate"))
+
+
+# -- neighbours ------------------------------------------------------------------------------------
+
+
+def _vectors(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    source = F.pmod("vec_id", F.lit(3)) + 1
+    return e.select(F.concat(F.lit("source"), source.cast("string")).alias("source"), F.concat(F.lit("S"), source.cast("string"), F.lit("-"), F.col("vec_id").cast("string")).alias("id"), F.col("embedding").alias("vector"))
+
+
+_NEAR = """v as (select 'source' || (vec_id % 3 + 1) as source, 'S' || (vec_id % 3 + 1) || '-' || vec_id as id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings),
+  near as (select a.id as source1_id, b.id as candidate_id, b.source, round(list_cosine_similarity(a.e, b.e), 6) as similarity, list_cosine_similarity(a.e, b.e) as exact
+    from v a join v b on a.source = 'source1' and b.source <> 'source1'),
+  knn as (select source1_id, candidate_id, source, similarity, cast(row_number() over (partition by source1_id order by round(exact, 12) desc, source, candidate_id) as integer) as rank from near)"""
+
+
+@query(f"with {_NEAR} select * from knn where rank <= 10")
+def jn03_nearest_neighbours(spark, sf_dir):
+    v = _vectors(spark, sf_dir)
+    near = nearest(v.filter("source = 'source1'"), v.filter("source <> 'source1'"), 10)
+    return near.select("source1_id", "candidate_id", "source", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+# -- truth, labels, sets ---------------------------------------------------------------------------
+
+
+@query(f"with {TRUTH_SQL} select source1_id, string_agg(candidate_id, ',' order by candidate_id) as matched_ids from truth group by source1_id")
+def io10_format_ids(spark, sf_dir):
+    lists = truth(spark, sf_dir).groupBy("source1_id").agg(F.sort_array(F.collect_set("candidate_id")).alias("ids"))
+    return lists.select("source1_id", resolve.format_ids(F.col("ids")).alias("matched_ids"))
+
+
+@query(f"with {TRUTH_SQL} select distinct source1_id, candidate_id from truth")
+def ag03_truth_pairs(spark, sf_dir):
+    return resolve.truth_pairs(io10_format_ids(spark, sf_dir))
+
+
+_LABELLED = f"labelled as (select top.*, cast(truth.source1_id is not null as integer) as label from top left join (select distinct * from truth) truth using (source1_id, candidate_id))"
+_BLOCKED = _forms("evaluate") + f", {_EVALUATE_KEYS}, {_COUNTS}, {_TOP}, {TRUTH_SQL}, {_LABELLED}"
+
+
+def _labelled(spark, sf_dir):
+    return resolve.with_labels(sl01_top_candidates(spark, sf_dir), truth(spark, sf_dir))
+
+
+@query(f"{_BLOCKED} select * from labelled")
+def jn07_labels(spark, sf_dir):
+    return _labelled(spark, sf_dir)
+
+
+@query(f"{_BLOCKED} select round(avg(hit), 6) as recall, cast(sum(hit) as bigint) as tp, count(*) as total from (select distinct t.*, cast(top.source1_id is not null as integer) as hit from truth t left join top using (source1_id, candidate_id))")
+def ag05_blocking_recall(spark, sf_dir):
+    return metrics.blocking_recall(truth(spark, sf_dir), sl01_top_candidates(spark, sf_dir)).withColumn("recall", F.round("recall", 6))
+
+
+@query(f"{_BLOCKED} select sum(label)::bigint as positives, sum(1 - label)::bigint as negatives, round(sum(1 - label) / greatest(sum(label), 1), 6) as ratio from labelled")
+def ag10_class_balance(spark, sf_dir):
+    return metrics.class_balance(_labelled(spark, sf_dir)).withColumn("ratio", F.round("ratio", 6))
+
+
+@query(f"{_BLOCKED} select count(*) as pairs, (select count(*) from r where source = 'source1') as entities, round(count(*) / (select count(*) from r where source = 'source1'), 6) as average from top")
+def ag11_candidates_per_entity(spark, sf_dir):
+    return metrics.candidates_per_entity(sl01_top_candidates(spark, sf_dir), _entities(spark, sf_dir)).withColumn("average", F.round("average", 6))
+
+
+_SCORED = "scored as (select source1_id, candidate_id, label, least(shared, 60) / 60 as prob from labelled)"
+
+
+def _scored(spark, sf_dir):
+    """The labelled candidates with shared keys as a stand-in score."""
+    return _labelled(spark, sf_dir).withColumn("prob", F.least("shared", F.lit(60)) / 60)
+
+
+@query(
+    f"""{_BLOCKED}, {_SCORED}, s as (select sum(label * (prob >= 0.5)::int) as tp, sum((1 - label) * (prob >= 0.5)::int) as fp, sum(label * (prob < 0.5)::int) as fn, sum(label) as p, sum(1 - label) as n from scored)
+  select round(case when tp + fp > 0 then tp / (tp + fp) else 0.0 end, 6) as precision, round(case when tp + fn > 0 then tp / (tp + fn) else 0.0 end, 6) as recall, round(2 * tp / greatest(2 * tp + fp + fn, 1), 6) as f1,
+    round(1.25 * tp / greatest(1.25 * tp + 0.25 * fn + fp, 0.25), 6) as f05, p::bigint as positives, n::bigint as negatives from s"""
+)
+def ag06_binary_metrics(spark, sf_dir):
+    m = metrics.binary_metrics(_scored(spark, sf_dir), 0.5)
+    return m.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1", "f05")})
+
+
+@query(
+    f"""{_BLOCKED}, {_SCORED}, g as (select prob, sum(label) as p, sum(1 - label) as n from scored group by prob),
+  h as (select p, n, coalesce(sum(n) over (order by prob rows between unbounded preceding and 1 preceding), 0) as under from g)
+  select round(sum(p * (under + n / 2)) / sum(p) / sum(n), 6) as roc_auc from h"""
+)
+def ag07_roc_auc(spark, sf_dir):
+    return metrics.roc_auc(_scored(spark, sf_dir)).select(F.round("roc_auc", 6).alias("roc_auc"))
+
+
+@query(
+    f"""{_BLOCKED}, {_SCORED}, g as (select prob, sum(label) as p, count(*) as n from scored group by prob), h as (select p, sum(p) over (order by prob desc) as tp, sum(n) over (order by prob desc) as seen from g)
+  select round(sum(p * tp / seen) / sum(p), 6) as pr_auc from h"""
+)
+def ag08_average_precision(spark, sf_dir):
+    return metrics.average_precision(_scored(spark, sf_dir)).select(F.round("pr_auc", 6).alias("pr_auc"))
+
+
+_GRID = "grid as (select 0.1 + 0.8 * i / 80 as tau from range(81) as t(i)), f as (select tau, sum(label * (prob >= tau)::int) as tp, sum((1 - label) * (prob >= tau)::int) as fp, sum(label * (prob < tau)::int) as fn from grid, scored group by tau)"
+
+
+@query(f"{_BLOCKED}, {_SCORED}, {_GRID} select round(tau, 6) as tau, round(case when tp + fp + fn > 0 then 1.25 * tp / (1.25 * tp + 0.25 * fn + fp) else 0.0 end, 6) as f05 from f")
+def sl12_threshold_grid(spark, sf_dir):
+    return metrics.threshold_scores(_scored(spark, sf_dir), metrics.threshold_grid()).select(F.round("tau", 6).alias("tau"), F.round("f05", 6).alias("f05"))
+
+
+@query(f"{_BLOCKED}, {_SCORED}, {_GRID} select round(tau, 6) as tau, round(1.25 * tp / (1.25 * tp + 0.25 * fn + fp), 6) as f05 from f order by round(1.25 * tp / (1.25 * tp + 0.25 * fn + fp), 12) desc, tau limit 1")
+def sl13_best_threshold(spark, sf_dir):
+    return metrics.best_threshold(_scored(spark, sf_dir), metrics.threshold_grid()).select(F.round("tau", 6).alias("tau"), F.round("f05", 6).alias("f05"))
+
+
+@query(f"{_BLOCKED}, {_SCORED} select r.id as source1_id, coalesce(string_agg(candidate_id, ',' order by candidate_id), '') as matched_ids from r left join scored s on s.source1_id = r.id and prob >= 0.5 where source = 'source1' group by r.id")
+def jn09_matches(spark, sf_dir):
+    done = resolve.matches(_scored(spark, sf_dir), 0.5, _entities(spark, sf_dir))
+    return done.select("source1_id", resolve.format_ids(F.col("matched")).alias("matched_ids"))
+
+
+@query(
+    f"""{_BLOCKED}, {_SCORED}, p as (select source1_id, candidate_id, 1 as p from scored where prob >= 0.5), t as (select distinct source1_id, candidate_id, 1 as t from truth),
+  e as (select r.id as source1_id, count(*) filter (p = 1 and t = 1) as tp, count(p) as predicted, count(t) as actual from r left join (select source1_id, p, t from p full join t using (source1_id, candidate_id)) b on b.source1_id = r.id
+    where r.source = 'source1' group by r.id),
+  f as (select *, case when predicted = 0 and actual = 0 then 1.0 when tp = 0 then 0.0 else 1.25 * tp / (0.25 * actual + predicted) end as f05 from e)
+  select round(avg(f05), 6) as macro_f05, count(*) filter (f05 = 1) as perfect, count(*) filter (f05 > 0 and f05 < 1) as partial, count(*) filter (f05 = 0) as zero, count(*) as entities from f"""
+)
+def ag04_macro_f05(spark, sf_dir):
+    hits = _scored(spark, sf_dir).filter("prob >= 0.5")
+    return metrics.macro_f05(truth(spark, sf_dir), hits, _entities(spark, sf_dir)).withColumn("macro_f05", F.round("macro_f05", 6))
+
+
+@query(f"with {RECORDS_SQL}, {TRUTH_SQL} select source, count(*) filter (id in (select candidate_id from truth)) as true_records, count(*) filter (id not in (select candidate_id from truth)) as decoys from recs where source <> 'source1' group by source")
+def jn11_truth_and_decoys(spark, sf_dir):
+    r, wanted = records(spark, sf_dir).filter("source <> 'source1'"), truth(spark, sf_dir).select(F.col("candidate_id").alias("id")).distinct()
+    a = r.join(wanted, "id", "left_semi").groupBy("source").agg(F.count(F.lit(1)).alias("true_records"))
+    b = r.join(wanted, "id", "left_anti").groupBy("source").agg(F.count(F.lit(1)).alias("decoys"))
+    return a.join(b, "source", "full").na.fill(0)
+
+
+@query(f"with {RECORDS_SQL} select name, count(*) as n from recs group by name having count(*) > 1")
+def ag13_duplicates(spark, sf_dir):
+    return metrics.duplicate_ids(records(spark, sf_dir), "name")
+
+
+# -- TF-IDF, features, models ----------------------------------------------------------------------
+
+
+def _word_terms(x: str) -> str:
+    toks = f"list_filter(string_split(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'), ' '), lambda w: length(w) >= 2)"
+    runs = [f"case when len({toks}) >= {n} then list_transform(range(1, len({toks}) - {n} + 2), lambda i: array_to_string(list_slice({toks}, i, i + {n} - 1), ' ')) else [] end" for n in (1, 2, 3)]
+    return " || ".join(runs)
+
+
+_TFIDF = f"""terms as (select id, term, count(*) as tf from (select id, unnest({_word_terms("na")}) as term from r) group by all),
+  vocab as (select term, count(*) as df, sum(tf) as total, ln((1 + (select count(*) from r)) / (1 + count(*))) + 1 as idf from terms group by term having count(*) >= 2 order by total desc, term limit 20000),
+  w as (select id, term, (1 + ln(tf)) * idf as w from terms join vocab using (term)), norm as (select id, sqrt(sum(w * w)) as n from w group by id)"""
+
+
+@query(_forms("evaluate") + f", {_TFIDF} select term, df, round(idf, 6) as idf from vocab")
+def ag12_tfidf_vocabulary(spark, sf_dir):
+    r, settings = _forms_of(spark, sf_dir, "evaluate"), tfidf.SETTINGS["evaluate", "address"]
+    return tfidf.fit(r, "na", settings, ["source", "id"]).select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+@query(_forms("evaluate") + f", {_TFIDF} select id, term, round(w / n, 6) as weight from w join norm using (id)")
+def jn16_tfidf_vectors(spark, sf_dir):
+    r, settings = _forms_of(spark, sf_dir, "evaluate"), tfidf.SETTINGS["evaluate", "address"]
+    vocabulary = tfidf.fit(r, "na", settings, ["source", "id"])
+    return tfidf.transform(r, "na", vocabulary, settings, ["source", "id"]).select("id", "term", F.round("weight", 6).alias("weight"))
+
+
+_CHARS = " || ".join(
+    f"flatten(list_transform({_words('lower(nn)')}, lambda x: case when length(x) + 2 <= {n} then {'[' if n == 3 else 'case when length(x) + 2 = ' + str(n) + ' then ['}' ' || x || ' ']{'' if n == 3 else ' else [] end'} else list_transform(range(1, length(x) + 2 - {n} + 2), lambda i: substring(' ' || x || ' ', i, {n})) end))"
+    for n in (3, 4, 5)
+)
+
+
+@query(
+    _forms("evaluate") + f""", terms as (select id, term, count(*) as tf from (select id, unnest({_CHARS}) as term from r) group by all)
+  select term, df, round(idf, 6) as idf from (select term, count(*) as df, sum(tf) as total, ln((1 + (select count(*) from r)) / (1 + count(*))) + 1 as idf from terms group by term having count(*) >= 2 order by total desc, term limit 30000)"""
+)
+def ag12_tfidf_vocabulary_chars(spark, sf_dir):
+    r = _forms_of(spark, sf_dir, "evaluate")
+    return tfidf.fit(r, "nn", tfidf.SETTINGS["evaluate", "name"], ["source", "id"]).select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+def _matrix(spark, sf_dir, profile):
+    rows = records(spark, sf_dir)
+    pairs = sl01_top_candidates(spark, sf_dir).select("source1_id", "candidate_id", "source")
+    return feature_matrix(pairs, with_tfidf(rows, profile), profile)
+
+
+def _rounded(matrix, names):
+    return matrix.select("source1_id", "candidate_id", *(F.round(n, 6).alias(n) for n in names))
+
+
+_FEATURES = {
+    "name_exact": "(x.nn = y.nn)::int::double", "name_jaccard": _set_sql("jaccard", "x.nt", "y.nt"), "name_overlap_ratio": _set_sql("evaluate", "x.nt", "y.nt"), "name_common_cnt": "len(list_intersect(x.nt, y.nt))::double",
+    "name_soundex": "(x.sdx = y.sdx)::int::double", "addr_exact": "(x.na = y.na)::int::double", "addr_house_num": "(x.house <> '' and x.house = y.house)::int::double", "addr_postal_match": "(x.postal <> '' and x.postal = y.postal)::int::double",
+    "addr_postal_prefix": "(length(x.postal) >= 3 and length(y.postal) >= 3 and x.postal[1:3] = y.postal[1:3])::int::double", "addr_tok_jaccard": _set_sql("jaccard", "x.at", "y.at"), "addr_state_match": "(x.na <> '' and x.na = y.na)::int::double",
+    "cross_name1_addr2": _set_sql("jaccard", "x.nt", "y.at"), "cross_name2_addr1": _set_sql("jaccard", "y.nt", "x.at"),
+}
+
+
+@query(
+    _forms("evaluate") + f""", {_EVALUATE_KEYS}, {_COUNTS}, {_TOP}, parts as (select id, nn, na, {_tokens("nn", 3)} as nt, {_tokens("na", 3)} as at, {_SOUNDEX_EVALUATE} as sdx, regexp_extract(na, '\\b(\\d+[A-Za-z]?)\\b', 1) as house, {_POSTAL_EVALUATE.format(x="na")} as postal from r)
+  select source1_id, candidate_id, {", ".join(f"{v} as {k}" for k, v in _FEATURES.items())} from top join parts x on x.id = source1_id join parts y on y.id = candidate_id"""
+)
+def fe05_features_in_sql(spark, sf_dir):
+    rows = records(spark, sf_dir)
+    pairs = sl01_top_candidates(spark, sf_dir).select("source1_id", "candidate_id", "source")
+    return _rounded(feature_matrix(pairs, rows, "evaluate"), list(_FEATURES))
+
+
+@query()
+def fe05_features_evaluate(spark, sf_dir):
+    return _matrix(spark, sf_dir, "evaluate")
+
+
+@query()
+def fe04_features_main(spark, sf_dir):
+    return _matrix(spark, sf_dir, "main")
+
+
+@query("select 'quality' as feature, round(avg(quality), 6) as mean, round(case when stddev_pop(quality) > 0 then stddev_pop(quality) else 1 end, 6) as std from labels union all select 'toxic', round(avg(toxic), 6), round(case when stddev_pop(toxic) > 0 then stddev_pop(toxic) else 1 end, 6) from labels")
+def ag15_scaling(spark, sf_dir):
+    return metrics.scaling(spark.read.parquet(f"{sf_dir}/labels.parquet"), ["quality", "toxic"]).select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query("select doc_id, round((0.35 * quality + 0.35 * toxic + 0.2 * 0.5) / 0.9, 6) as prob from labels")
+def ml06_ensemble_mean(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    columns = {"xgboost": F.col("quality"), "lightgbm": F.col("toxic"), "catboost": F.lit(0.5)}
+    return rows.select("doc_id", F.round(combined(columns, WEIGHTS), 6).alias("prob"))
+
+
+def _training(spark, sf_dir, profile):
+    return resolve.with_labels(_matrix(spark, sf_dir, profile), truth(spark, sf_dir)).cache()
+
+
+@query()
+def ml09_logistic(spark, sf_dir):
+    rows = _training(spark, sf_dir, "evaluate")
+    scored = BalancedLogistic(max_iter=100).fit(rows).probabilities(rows)
+    return scored.select("source1_id", "candidate_id", "label", F.round("prob", 6).alias("prob"))
+
+
+@query()
+def ml07_ensemble(spark, sf_dir):
+    rows = _training(spark, sf_dir, "main")
+    small = {"n_estimators": 5, "max_depth": 4, "iterations": 10, "depth": 4}
+    model = Ensemble().fit(rows, [{"name": n, "params": small} for n in WEIGHTS] + [{"name": "tabpfn", "use": False}])
+    return model.predict(rows).select("source1_id", "candidate_id", "label", F.round("prob", 6).alias("prob"), "predicted")
+
+
+# -- validators ------------------------------------------------------------------------------------
+
+
+def _result_lines(spark, sf_dir):
+    """Result lines with every kind of fault, made from the matches of all entities."""
+    done = jn09_matches(spark, sf_dir).withColumn("k", F.substring_index("source1_id", "-", -1).cast("long") % 10)
+    text = F.when(F.col("k") == 1, F.col("source1_id")).when(F.col("k") == 2, F.concat("source1_id", F.lit("\tS2-1,S2-1"))).when(F.col("k") == 3, F.concat("source1_id", F.lit("\tS1-0,X9")))
+    lines = done.select(F.substring_index("source1_id", "-", -1).cast("long").alias("line"), text.otherwise(F.concat("source1_id", F.lit("\t"), "matched_ids")).alias("value"))
+    return lines.unionByName(lines.filter(F.col("line") % 10 == 4))
+
+
+_ENTITY = "select doc_id, doc_id % 10 as k, 'S1-' || doc_id as id from documents where doc_id % 3 = 0"
+
+
+@query(
+    f"""with e as ({_ENTITY}), f(rule, x) as (select 'row without tab', cast(doc_id as varchar) from e where k = 1 union select 'duplicate row', id from e where k = 4 union select 'repeated id in a list', id from e where k = 2
+    union select 'self match', 'S1-0' from e where k = 3 union select 'wrong prefix', 'X9' from e where k = 3 union select 'missing entity', id from e where k = 1)
+  select 'error' as severity, rule, count(*) as n, array_to_string(list_slice(list_sort(list(x)), 1, 5), ' ') as examples from f group by rule"""
+)
+def va03_strict_findings(spark, sf_dir):
+    required = _entities(spark, sf_dir).withColumnRenamed("source1_id", "id")
+    found = validate.id_list_findings(validate.parsed_lines(_result_lines(spark, sf_dir)), required)
+    return found.select("severity", "rule", "n", F.array_join("examples", " ").alias("examples"))
+
+
+@query(f"{_BLOCKED}, {_SCORED}, m as (select r.id, count(s.candidate_id) as c from r left join scored s on s.source1_id = r.id and prob >= 0.5 where source = 'source1' group by r.id) select count(*) as rows, count(*) filter (c = 0) as empty, count(*) filter (c > 0) as non_empty, sum(c)::bigint as total_matched from m")
+def ag14_counters(spark, sf_dir):
+    return validate.counters(jn09_matches(spark, sf_dir))
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

@@ -36,5 +36,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, reject_grade: int = 1, re
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, reject_grade: int = 1, reject_at: float = 0.35) -> DataFrame:
     """The rows of docs, all their columns, but those that score_toxicity() finds toxic."""
-    scored = ordinal.score(docs, toxicity_model(docs, labels), ordinal.word_features, reject_grade, carry=docs.columns)
-    return scored.filter(F.col("tail") < reject_at).select(*docs.columns)
+    return ordinal.below(docs, toxicity_model(docs, labels), ordinal.word_features, reject_grade, reject_at)

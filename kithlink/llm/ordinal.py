@@ -254,16 +254,22 @@ def fit_on(docs: DataFrame, labels: DataFrame, grade_col: str, featurize: Featur
     return fit(rows[order], hashes[order], grades, l1=l1, rounds=rounds)
 
 
-def score(docs: DataFrame, model: OrdinalModel, featurize: Featurizer, grade: int, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """Each row's id, expected grade and P(grade >= `grade`), read where the row is: no shuffle.
+def score(docs: DataFrame, model: OrdinalModel, featurize: Featurizer, grade: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each row's id, expected grade and P(grade >= `grade`), read where the row is: no shuffle. Null texts count as empty."""
+    return _scored(docs, model, featurize, grade, [id_col], text_col).select(F.col("c0").alias(id_col), "expected", "tail")
 
-    carry: columns to return besides (the whole row goes through the worker then). Null texts count as empty.
-    """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    kept = carry or [id_col]
-    kinds = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept))
-    rows = docs.select(F.col(text_col).cast("string").alias("scored"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)))
+
+def below(docs: DataFrame, model: OrdinalModel, featurize: Featurizer, grade: int, bound: float, text_col: str = "text") -> DataFrame:
+    """The whole rows of docs for which P(grade >= `grade`) is less than the bound; any column names may be there."""
+    names = docs.columns
+    kept = _scored(docs, model, featurize, grade, names, text_col).filter(F.col("tail") < bound)
+    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
+
+
+def _scored(docs: DataFrame, model: OrdinalModel, featurize: Featurizer, grade: int, carried: list[str], text_col: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kinds = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carried))
+    rows = docs.select(F.col(text_col).cast("string").alias("scored"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carried)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -272,7 +278,6 @@ def score(docs: DataFrame, model: OrdinalModel, featurize: Featurizer, grade: in
             for a, b in byte_batches(utf8_lengths(texts), BATCH_BYTES):
                 out.append(own.tails(own.scores(texts.slice(a, b - a), featurize)))
             tails = np.concatenate(out) if out else np.empty((0, len(own.thresholds)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(own.expected(tails)), pa.array(own.tail_from(tails, grade))], [*(f"c{i}" for i in range(len(kept))), "expected", "tail"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(own.expected(tails)), pa.array(own.tail_from(tails, grade))], [*(f"c{i}" for i in range(len(carried))), "expected", "tail"])
 
-    scored = rows.mapInArrow(run, f"{kinds}, expected double, tail double")
-    return scored.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), "expected", "tail")
+    return rows.mapInArrow(run, f"{kinds}, expected double, tail double")

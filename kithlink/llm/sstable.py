@@ -207,7 +207,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_
         writer = store = None
         shard = TaskContext.get().partitionId()
         first = last = None
-        enc = encoder(vocabulary)
+        enc, end = encoder(vocabulary), np.uint32(end_id)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "")
             for a, b in byte_batches(utf8_lengths(texts), BATCH_BYTES):
@@ -220,7 +220,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_
                         sink = store.open_output_stream(path + ".part")
                         writer, first = ShardWriter(sink, id_width), keys[i]
                     last = keys[i]
-                    writer.add(last, np.append(ids[bounds[i - a]:bounds[i - a + 1]], np.uint32(end_id)))
+                    writer.add(last, np.append(ids[bounds[i - a]:bounds[i - a + 1]], end))
         if writer is not None:
             size = writer.finish()
             sink.close()
@@ -275,7 +275,8 @@ def lookup(manifest: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> Data
     Keys meet the shards whose range holds them by a range condition on the manifest, which has a row a shard.
     """
     wanted = keys.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
-    shards = manifest.select("path", "first_key", "last_key")
+    # null keys come first in a shard, so any key up to its last one may follow them
+    shards = manifest.select("path", F.coalesce("first_key", F.lit(-(1 << 63))).alias("first_key"), "last_key")
     here = wanted.join(F.broadcast(shards), (F.col("doc_id") >= F.col("first_key")) & (F.col("doc_id") <= F.col("last_key")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

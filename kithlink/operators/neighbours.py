@@ -71,8 +71,11 @@ def nearest_approximate(queries: DataFrame, candidates: DataFrame, k: int, bucke
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
-    asked = unit(queries.select("id", "vector").filter("vector is not null")).select("id", array_to_vector("vector").alias("features"), F.col("vector").alias("v"))
-    others = unit(candidates.select("source", "id", "vector").filter("vector is not null")).select("source", "id", array_to_vector("vector").alias("features"), F.col("vector").alias("v"))
+    top = candidates.filter("vector is not null").select(F.size("vector").alias("n")).first()
+    # the optimiser may hash a row before it is filtered out, so a null vector becomes zeros of the right length
+    whole = F.coalesce("vector", F.array_repeat(F.lit(0.0), top["n"] if top else 1))
+    asked = unit(queries.select("id", "vector").filter("vector is not null")).select("id", array_to_vector(whole).alias("features"), F.col("vector").alias("v"))
+    others = unit(candidates.select("source", "id", "vector").filter("vector is not null")).select("source", "id", array_to_vector(whole).alias("features"), F.col("vector").alias("v"))
     model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=42).fit(others)
     met = model.approxSimilarityJoin(asked, others, 2.0, "distance")
     pairs = met.select(F.col("datasetA.id").alias("source1_id"), F.col("datasetB.id").alias("candidate_id"), F.col("datasetB.source").alias("source"), dot(F.col("datasetA.v"), F.col("datasetB.v")).alias("similarity"))

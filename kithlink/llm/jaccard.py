@@ -3,9 +3,10 @@
 Tokens (shingles) fall into classes by how many documents hold them, as a sketch of the whole corpus tells.
 Every set is ordered rare tokens first. If two sets share at least `need` tokens, at most size - need tokens of
 either are missing in the other; so a prefix that holds size - need + 1 tokens more than a class may share
-without a common signature must have one. A rare token is a signature by itself. Frequent tokens fall into
-groups, and a signature is a pair of tokens of one group; each group a prefix touches costs it one token
-more. Buckets of documents with a common signature are linked through hubs (linking.py), and every candidate is
+without a common signature must have one. A rare token is a signature by itself; a prefix of rare tokens is made longer
+still, so that similar sets must share a number of them, which tells candidates from documents that only share
+a passage. Frequent tokens fall into groups, and a signature is a pair of tokens of one group; each group
+a prefix touches costs it one token more. Buckets of documents with a common signature are linked through hubs (linking.py), and every candidate is
 verified on the whole sets.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kithlink.llm.common import byte_batches, drop_scratch, materialize, utf8_lengths
-from kithlink.llm.linking import components, stray_pairs
+from kithlink.llm.linking import components, link_through_hubs, stray_pairs, with_hubs
 from kithlink.llm.shingles import mix, shingle_sets
 
 SIZE = 5
@@ -32,8 +33,8 @@ PARTS = 16
 #: Sets of at most so many tokens use single tokens only; then groups of frequent tokens by size of the smaller set.
 SMALL = 16
 GROUPS = ((2048, 8), (16384, 64), (1 << 62, 512))
-#: Rounds in which each document is compared with one hub, before the rest is compared in full.
-ROUNDS = 3
+#: Percent of its tokens by which a prefix of rare tokens is longer than one common signature needs.
+FURTHER = 8
 #: Documents that one copy of a hub's set is compared with.
 FAN = 100
 BROADCAST_ROWS = 300_000
@@ -80,11 +81,15 @@ def frequent_buckets(docs: DataFrame, text_col: str = "text", size: int = SIZE)
     return np.unpackbits(np.concatenate([bits.get(p, none) for p in range(PARTS)])).astype(bool)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The signatures of one set, given as distinct tokens in ascending order, and which of them are frequent."""
+def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
+    """The signatures of one set, given as distinct tokens in ascending order, and which of them are frequent.
+
+    And how many of them a similar set shares at least, unless the other set's number is lower: the set whose prefix ends first
+    in the common order has all its shared prefix tokens in the other's prefix, and lacks size - need of them at most.
+    """
     n = len(tokens)
     if n == 0:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), 0
     need = -(-n * percent // 100)
     wanted = n - need + 1
     least = need  # the smallest set that can link with this one
@@ -93,6 +98,9 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
         out.append(mix(tokens[:wanted] ^ np.uint64(0x5EED)))
     if n > SMALL:
         rare = tokens[~frequent]
+        longer = n * FURTHER // 100
+        if least > SMALL and len(rare) >= wanted + longer:
+            return rare[:wanted + longer], 1 + longer
         out.append(rare[:wanted])
         if len(rare) < wanted:
             common, low = tokens[frequent], SMALL
@@ -100,7 +108,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
                 if least <= high and n > low:
                     out.append(_pairs(common, groups, wanted - len(rare)))
                 low = high
-    return np.concatenate(out)
+    return np.concatenate(out), 1
 
 
 def _pairs(tokens: np.ndarray, groups: int, wanted: int) -> np.ndarray:
@@ -123,7 +131,7 @@ def _pairs(tokens: np.ndarray, groups: int, wanted: int) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, marked: np.ndarray, size: int, percent: int) -> DataFrame:
-    """A row a document: id, n, fp1, fp2 (of its set), keys (signatures; none where the task has had the same set before)."""
+    """A row a document: id, n, fp1, fp2 (of its set), least (shared signatures), keys (signatures; none where the task has had the same set before)."""
     shared = docs.sparkSession.sparkContext.broadcast(marked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,19 +147,20 @@ def _signed(docs: DataFrame, marked: np.ndarray, size: int, percent: int) -> Dat
                 with np.errstate(over="ignore"):
                     for k, salt in enumerate((0x51, 0xA7)):
                         fp[k][some] = mix(np.add.reduceat(mix(tokens ^ np.uint64(salt)), bounds[:-1][some]) + sizes[some].astype(np.uint64)) if len(some) else 0
-                keys = []
+                keys, least = [], np.zeros(b - a, np.int32)
                 for i, (x, y) in enumerate(zip(fp[0].tolist(), fp[1].tolist())):
                     if sizes[i] == 0 or (x, y) in seen:
                         keys.append(np.empty(0, np.int64))
                         continue
                     if len(seen) < 200_000:
                         seen.add((x, y))
-                    keys.append(signatures(tokens[bounds[i]:bounds[i + 1]], frequent[bounds[i]:bounds[i + 1]], percent).view(np.int64) >> 16)
+                    own, least[i] = signatures(tokens[bounds[i]:bounds[i + 1]], frequent[bounds[i]:bounds[i + 1]], percent)
+                    keys.append(own.view(np.int64) >> 16)
                 ends = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(fp[0].view(np.int64)), pa.array(fp[1].view(np.int64)), lists], ["node", "n", "fp1", "fp2", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(fp[0].view(np.int64)), pa.array(fp[1].view(np.int64)), pa.array(least), lists], ["node", "n", "fp1", "fp2", "least", "keys"])
 
-    return docs.mapInArrow(run, "node long, n long, fp1 long, fp2 long, keys array<long>")
+    return docs.mapInArrow(run, "node long, n long, fp1 long, fp2 long, least int, keys array<long>")
 
 
 def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFrame:
@@ -220,45 +229,24 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
     signed = materialize(_signed(base, frequent_buckets(docs, text_col, size), size, percent), "signed")
     sizes = materialize(signed.select("node", "n", "fp1", "fp2"), "set-sizes")
-    exploded = signed.filter("node is not null").select("node", "n", F.explode("keys").alias("key"))
-    whole = Window.partitionBy("key")
-    buckets = exploded.withColumn("least", F.min("node").over(whole)).withColumn("most", F.max("node").over(whole)).filter("least <> most").drop("least", "most")
-    buckets = materialize(buckets, "buckets")
+    exploded = signed.filter("node is not null").select("node", "n", "least", F.explode("keys").alias("key"))
+    buckets = materialize(with_hubs(exploded), "buckets")
     drop_scratch(signed)
 
     # equal sets are linked without a comparison, each to the least id of its kind
     alive = sizes.filter("node is not null and n > 0")
     first = alive.groupBy("fp1", "fp2", "n").agg(F.min("node").alias("a"))
     links = materialize(alive.join(first, ["fp1", "fp2", "n"]).select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "links")
-    tested = links
-    for seed in range(ROUNDS):
-        named = components(links)
-        edges = _hub_edges(buckets, named, seed, percent).join(tested, ["a", "b"], "left_anti")
-        edges = materialize(edges, "hub-edges")
-        if edges.isEmpty():
-            break
-        tested = tested.unionByName(edges)
-        links = materialize(links.unionByName(_verified(base, edges, size, percent)), "links")
-    hubbed = buckets.withColumn("hub", F.min("node").over(whole))
+    near = F.least("n", "hub_n") * 100 >= percent * F.greatest("n", "hub_n")
+    links, tested = link_through_hubs(buckets, links, lambda edges: _verified(base, edges, size, percent), ["n", "least"], near, F.least("least", "hub_least"))
     fits = F.least("l.n", "r.n") * 100 >= percent * F.greatest("l.n", "r.n")
-    strays = materialize(stray_pairs(hubbed, components(links), ["n"], fits).join(tested, ["a", "b"], "left_anti"), "stray-pairs")
+    met = stray_pairs(buckets, components(links), ["n", "least"], fits, enough=F.least("l.least", "r.least"))
+    strays = materialize(met.filter("shared >= enough").select("a", "b").join(tested, ["a", "b"], "left_anti"), "stray-pairs")
     if not strays.isEmpty():
         links = materialize(links.unionByName(_verified(base, strays, size, percent)), "links")
     return sizes.select("node", "n"), links
 
 
-def _hub_edges(buckets: DataFrame, named: DataFrame, seed: int, percent: int) -> DataFrame:
-    """For each node the hub of another component that it shares the most buckets with."""
-    of = named.select(F.col("node").alias("of"), "component")
-    own = buckets.join(of, F.col("node") == F.col("of"), "left").withColumn("own", F.coalesce("component", "node")).select("key", "node", "n", "own")
-    hub = F.min(F.struct(F.xxhash64(F.lit(seed), "own", "node"), F.col("node").alias("hub"), F.col("own").alias("hub_own"), F.col("n").alias("hub_n"))).over(Window.partitionBy("key"))
-    met = own.withColumn("h", hub).select("node", "own", "n", "h.hub", "h.hub_own", "h.hub_n").filter("own <> hub_own")
-    met = met.filter(F.least("n", "hub_n") * 100 >= percent * F.greatest("n", "hub_n"))
-    shared = met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
-    best = shared.groupBy("node").agg(F.max(F.struct("shared", F.xxhash64("hub").alias("o"), "hub")).alias("m")).select("node", "m.hub")
-    return best.select(F.greatest("node", "hub").alias("b"), F.least("node", "hub").alias("a")).select("a", "b").distinct()
-
-
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id (the least id reachable by links, its own included).
 

@@ -1,9 +1,8 @@
 """Links inside buckets without emitting all their pairs, and connected components; DataFrame operations only.
 
-A bucket's members are first compared with one hub each (the member of least hash under the bucket's own seed,
-so a large group meets many hubs and hangs together after one round). Then only members outside their hub's
-component are compared with members of other components. No pair of one bucket is left out unless
-its two ends are connected already.
+A bucket's members are first compared with one hub each, for some rounds under other seeds, so a large group soon
+hangs together. Then only members outside their bucket's main component are compared with members of other
+components. No pair of one bucket is left out unless its two ends are connected already.
 """
 
 from __future__ import annotations
@@ -14,25 +13,22 @@ from pyspark.sql.window import Window
 
 from kithlink.llm.common import materialize
 
+#: Rounds of hub edges at most, before all that is left is compared.
+ROUNDS = 4
+#: Rows of a round's graph tables that one task writes; small graphs take few tasks, whatever the number of shuffle partitions.
+ROWS_A_TASK = 100_000
+
 
 def with_hubs(rows: DataFrame, key: str = "key", node: str = "node") -> DataFrame:
-    """Rows of buckets with at least two distinct nodes, each with its bucket's hub. One shuffle by key."""
+    """Rows of buckets with at least two distinct nodes, each with its bucket's hub, the least of them. One shuffle by key."""
     whole = Window.partitionBy(key)
-    order = F.struct(F.xxhash64(key, node).alias("o"), F.col(node).alias("hub"))
-    marked = rows.withColumn("first", F.min(order).over(whole)).withColumn("last", F.max(order).over(whole))
-    return marked.filter("first.hub <> last.hub").withColumn("hub", F.col("first.hub")).drop("first", "last")
-
+    return rows.withColumn("hub", F.min(node).over(whole)).withColumn("last", F.max(node).over(whole)).filter("hub <> last").drop("last")
 
-def star_edges(hubbed: DataFrame, node: str = "node") -> DataFrame:
-    """Distinct (a, b), a < b, between each member and its hub."""
-    pairs = hubbed.filter(F.col(node) != F.col("hub"))
-    return pairs.select(F.least(node, "hub").alias("a"), F.greatest(node, "hub").alias("b")).distinct()
 
+def stray_pairs(hubbed: DataFrame, components: DataFrame, extra: list[str], condition, key: str = "key", node: str = "node", enough=None) -> DataFrame:
+    """(a, b, shared), a < b, within a bucket and in different components, for which the condition holds; shared: in how many buckets.
 
-def stray_pairs(hubbed: DataFrame, components: DataFrame, extra: list[str], condition, key: str = "key", node: str = "node") -> DataFrame:
-    """Distinct (a, b), a < b, within a bucket and in different components, for which the condition holds.
-
-    extra: columns of hubbed that the condition needs; it gets two aliases, l and r. A node without a row in components is its own component.
+    extra: columns of hubbed that the condition needs, under aliases l and r. enough: a column of theirs to return besides, the same for a pair in every bucket. A node without a row in components is its own component.
     """
     named = components.select(F.col("node").alias("of"), "component")
     own = hubbed.join(named, F.col(node) == F.col("of"), "left").withColumn("own", F.coalesce("component", F.col(node))).drop("of", "component")
@@ -41,9 +37,42 @@ def stray_pairs(hubbed: DataFrame, components: DataFrame, extra: list[str], cond
     mixed = mixed.withColumn("main", F.max(F.when(F.col(node) == F.col("hub"), F.col("own"))).over(whole)).select(key, node, "own", "main", *extra)
     mixed = materialize(mixed, "mixed")
     left, right = mixed.filter("own <> main").alias("l"), mixed.alias("r")
-    on = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.own") != F.col("r.own")) & condition
+    once = (F.col("r.own") == F.col("r.main")) | (F.col(f"l.{node}") < F.col(f"r.{node}"))  # two strays meet from either side
+    on = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.own") != F.col("r.own")) & once & condition
     a, b = F.col(f"l.{node}"), F.col(f"r.{node}")
-    return left.join(right, on).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    met = left.join(right, on).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), (F.lit(1) if enough is None else enough).alias("enough"))
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("enough").alias("enough"))
+
+
+def hub_edges(buckets: DataFrame, named: DataFrame, seed: int, extra: list[str], condition, enough=None, key: str = "key", node: str = "node") -> DataFrame:
+    """(a, b), a < b: each node with one hub of another component, of those that meet the condition the one with most buckets in common.
+
+    A bucket's hub is the member of least hash under the seed. extra: columns that the condition reads, the hub's as hub_{column}.
+    enough: of the same columns; a hub that shares less than half of it is left to the strays.
+    """
+    of = named.select(F.col("node").alias("of"), "component")
+    own = buckets.join(of, F.col(node) == F.col("of"), "left").withColumn("own", F.coalesce("component", F.col(node))).select(key, node, "own", *extra)
+    parts = [F.xxhash64(F.lit(seed), "own", node).alias("o"), F.col(node).alias("hub"), F.col("own").alias("hub_own"), *(F.col(c).alias(f"hub_{c}") for c in extra)]
+    met = own.withColumn("h", F.min(F.struct(*parts)).over(Window.partitionBy(key))).select(node, "own", *extra, "h.hub", "h.hub_own", *(f"h.hub_{c}" for c in extra)).filter("own <> hub_own").filter(condition)
+    shared = met.groupBy(node, "hub").agg(F.count(F.lit(1)).alias("shared"), F.max(F.lit(1) if enough is None else enough).alias("enough")).filter("2 * shared >= enough")
+    best = shared.groupBy(node).agg(F.max(F.struct("shared", F.xxhash64("hub").alias("o"), "hub")).alias("m")).select(F.col(node).alias("x"), F.col("m.hub").alias("y"))
+    return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def link_through_hubs(buckets: DataFrame, links: DataFrame, verify, extra: list[str], condition, enough=None, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(links, tested): rounds of hub edges under other seeds, as long as a tenth of them holds. verify: candidate (a, b) to those that hold."""
+    tested = links
+    for seed in range(rounds):
+        edges = hub_edges(buckets, components(links), seed, extra, condition, enough).join(tested, ["a", "b"], "left_anti")
+        edges = materialize(edges, "hub-edges")
+        n = edges.count()
+        if not n:
+            break
+        found = materialize(verify(edges), "hub-links")
+        links, tested = links.unionByName(found), tested.unionByName(edges)
+        if found.count() * 10 < n:
+            break
+    return links, tested
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -57,17 +86,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     live = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "edges")
     kind = live.schema["u"].dataType.simpleString()
     label = None
-    while not live.isEmpty():
-        parent = materialize(live.groupBy("u").agg(F.min("v").alias("p")), "parents")
+    while n := live.count():
+        width = 4 + n // ROWS_A_TASK
+        parent = materialize(live.groupBy("u").agg(F.min("v").alias("p")).coalesce(width), "parents")
         while True:
             up = parent.select(F.col("u").alias("p"), F.col("p").alias("q"))
-            moved = materialize(parent.join(up, "p", "left").select("u", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved")), "jumps")
+            moved = materialize(parent.join(up, "p", "left").select("u", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved")).coalesce(width), "jumps")
             parent = moved.select("u", "p")
             if moved.filter("moved").isEmpty():
                 break
-        label = parent if label is None else materialize(_renamed(label, parent, "p").unionByName(parent.join(label.select("u"), "u", "left_anti")), "labels")
+        label = parent if label is None else materialize(_renamed(label, parent, "p").unionByName(parent.join(label.select("u"), "u", "left_anti")).coalesce(2 * width), "labels")
         live = _renamed(_renamed(live, parent, "u"), parent, "v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
-        live = materialize(live, "edges")
+        live = materialize(live.coalesce(width), "edges")
     if label is None:
         return spark.createDataFrame([], f"node {kind}, component {kind}")
     named = label.select(F.col("u").alias("node"), F.col("p").alias("component"))

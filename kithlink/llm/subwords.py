@@ -8,6 +8,8 @@ each distinct chunk is encoded once and kept in a bounded table per Python worke
 from __future__ import annotations
 
 import os
+import string
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -63,12 +65,12 @@ def safe_pieces(text: str, most: int = LONG_TEXT) -> list[str]:
 
 class ChunkEncoder:
     def __init__(self) -> None:
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def _encode(self, chunks: list[str]) -> list[np.ndarray]:
+    def _encode(self, chunks: list[str]) -> list[tuple[int, ...]]:
         raise NotImplementedError
 
-    def ids_of(self, chunks: list[str]) -> list[np.ndarray]:
+    def ids_of(self, chunks: list[str]) -> list[tuple[int, ...]]:
         """Ids of each of these distinct chunks."""
         known = self.known
         new = [c for c in chunks if c not in known]
@@ -76,21 +78,22 @@ class ChunkEncoder:
             self.known = known = {}
             new = chunks
         known.update(zip(new, self._encode(new)))
-        found = [known[c] for c in chunks]
+        found = list(map(known.__getitem__, chunks))
         if len(known) > REMEMBERED:
             self.known = {}
         return found
 
     def split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All texts' chunks in a row, dictionary-encoded, and where each text's chunks begin and end."""
-        lists = pc.split_pattern(texts, " ")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         offsets = lists.offsets.to_numpy()
         return lists.flatten().dictionary_encode(), offsets - offsets[0]
 
     def lengths(self, texts: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
         chunks, offsets = self.split(texts)
-        each = np.array([len(x) for x in self.ids_of(chunks.dictionary.to_pylist())], dtype=np.int64)
+        names = chunks.dictionary.to_pylist()
+        each = np.fromiter(map(len, self.ids_of(names)), np.int64, len(names))
         running = np.concatenate(([0], np.cumsum(each[chunks.indices.to_numpy()])))
         return running[offsets[1:]] - running[offsets[:-1]]
 
@@ -98,8 +101,8 @@ class ChunkEncoder:
         """All ids in a row (uint32), and each text's bounds in it."""
         chunks, offsets = self.split(texts)
         of_chunk = self.ids_of(chunks.dictionary.to_pylist())
-        each = np.array([len(x) for x in of_chunk], dtype=np.int64)
-        flat = np.concatenate(of_chunk).astype(np.uint32) if len(of_chunk) else np.empty(0, np.uint32)
+        each = np.fromiter(map(len, of_chunk), np.int64, len(of_chunk))
+        flat = np.fromiter(chain.from_iterable(of_chunk), np.uint32, int(each.sum()))
         ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))), pa.int32()), pa.array(flat))
         indices = chunks.indices
         running = np.concatenate(([0], np.cumsum(each[indices.to_numpy()])))
@@ -116,11 +119,11 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder(ChunkEncoder):
     """A tokenizers file whose pre-tokenizer drops white space, so chunks between spaces are independent.
 
-    A chunk of plain Latin letters, with or without closing marks, is one or two pre-tokens:
+    A chunk of plain Latin letters, of ASCII marks, or of letters and then marks, is one or two pre-tokens:
     its lower-case bytes go straight to the model. Everything else takes the whole tokenizer.
     """
 
-    MARKS = ".,!?;:"
+    MARKS = string.punctuation
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -129,41 +132,36 @@ class WordEncoder(ChunkEncoder):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.letters = {b: c for b, c in _byte_letters().items()}
-        self.bodies: dict[str, np.ndarray] = {}
+        self.letters = _byte_letters()
+        self.bodies: dict[str, tuple[int, ...]] = {}
 
-    def _word(self, lower: str) -> np.ndarray:
+    def _word(self, lower: str) -> tuple[int, ...]:
         mapped = lower.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], dtype=np.uint32)
+        ids = self.bodies[lower] = tuple([t.id for t in self.model.tokenize(mapped)])
+        return ids
 
-    def _encode(self, chunks: list[str]) -> list[np.ndarray]:
-        bodies, out, slow = self.bodies, [], []
+    def _encode(self, chunks: list[str]) -> list[tuple[int, ...]]:
+        bodies, out, slow, marks_of, word = self.bodies, [], [], self.MARKS, self._word
         if len(bodies) > REMEMBERED:
             bodies.clear()
-        empty = np.empty(0, np.uint32)
         for i, chunk in enumerate(chunks):
-            body = chunk.rstrip(self.MARKS)
+            body = chunk.rstrip(marks_of)
             if body.isalpha() and (body.isascii() or max(body) < "ɐ" and "İ" not in body):
                 lower = body.lower()
-                ids = bodies.get(lower)
-                if ids is None:
-                    ids = bodies[lower] = self._word(lower)
+                ids = bodies.get(lower) or word(lower)
                 if len(body) < len(chunk):
                     marks = chunk[len(body):]
-                    tail = bodies.get(marks)
-                    if tail is None:
-                        tail = bodies[marks] = self._word(marks)
-                    ids = np.concatenate((ids, tail))
+                    ids += bodies.get(marks) or word(marks)
                 out.append(ids)
-            elif chunk:
-                slow.append(i)
-                out.append(empty)
+            elif not body:
+                out.append((bodies.get(chunk) or word(chunk)) if chunk else ())
             else:
-                out.append(empty)
+                slow.append(i)
+                out.append(())
         for at in range(0, len(slow), 2000):
             part = slow[at:at + 2000]
             for i, e in zip(part, self.tokenizer.encode_batch_fast([chunks[i] for i in part], add_special_tokens=False)):
-                out[i] = np.array(e.ids, dtype=np.uint32)
+                out[i] = tuple(e.ids)
         return out
 
 

@@ -14,7 +14,7 @@ from kithlink.llm.common import byte_batches, utf8_lengths
 from kithlink.llm.subwords import LONG_TEXT, encoder, safe_pieces
 
 #: Bytes of text that are split and encoded at once.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 6 << 20
 
 
 def count_texts(texts: pa.Array, vocabulary: str, batch_bytes: int = BATCH_BYTES) -> np.ndarray:

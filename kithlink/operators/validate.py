@@ -69,7 +69,7 @@ def _read(spark: SparkSession, path: str, header: list[str]) -> tuple[DataFrame
     top = lines.orderBy("line").first()
     if top is None:
         return None, _finding(spark, "empty file", examples=[path])
-    if "�" in top["value"] or not lines.filter(F.col("value").contains("�")).isEmpty():
+    if not lines.filter(~F.is_valid_utf8("value")).isEmpty():
         return None, _finding(spark, "not UTF-8", examples=[path])
     if "\t" not in top["value"] and "," in top["value"]:
         return None, _finding(spark, "comma-separated header", examples=[top["value"]])

@@ -1,4 +1,4 @@
-"""Blocking, metrics, models, files, validators, and the whole."""
+"""Blocking, metrics, models, files and validators."""
 
 import json
 import random
@@ -10,7 +10,6 @@ from kithlink.operators import blocking, metrics, resolve, tfidf, validate
 from kithlink.operators.features import feature_matrix, feature_names
 from kithlink.operators.models import BalancedLogistic, BoostedTrees, CrossEncoder, Ensemble
 from kithlink.operators.neighbours import nearest, nearest_approximate
-from kithlink.plans.linkage import Linkage, evaluate
 from kithlink.sources import tsv
 
 RECORD = "source string, id string, row long, name string, address string"
@@ -125,21 +124,6 @@ def test_ids_and_samples(spark):
     assert train.count() + test.count() == 500 and abs(train.count() - 400) < 12 and 70 <= train.filter("label = 1").count() <= 90
 
 
-def test_models_and_the_whole(spark, tmp_path):
-    rows, truth_rows = _records(60)
-    records, truth = spark.createDataFrame(rows, RECORD), spark.createDataFrame(truth_rows, "source1_id string, matched_ids string")
-    linkage = Linkage("evaluate", {"blocking": {"max_candidates_per_source1": 10}})
-    got = linkage.train(records, truth)
-    assert got["blocking_recall"] == 1 and got["f05"] > 0.9
-    matched = {r["source1_id"]: r["matched"] for r in linkage.predict(records).collect()}
-    assert len(matched) == 60
-    linkage.save(f"{tmp_path}/m")
-    again = Linkage.load(f"{tmp_path}/m", linkage.config)
-    assert again.threshold == linkage.threshold and {r["source1_id"]: r["matched"] for r in again.predict(records).collect()} == matched
-    out = evaluate(records, truth, decoys=(1, 10))
-    assert out["macro_f05"] > 0.8 and len(out["top"]) == 10
-
-
 def test_ensemble(spark, tmp_path):
     pick = random.Random(3)
     rows = [(f"S1-{i}", f"S2-{i}", pick.gauss(i % 2, 0.4), pick.random(), i % 2) for i in range(120)]

@@ -95,10 +95,11 @@ def _block(rows: DataFrame, ids: list[int], vectors: list[list[float]], k: int,
     longest = float(rows.agg(norm.alias("n")).first()["n"] or 0) ** 0.5
     own = np.array([float((_whole(np.array(v, np.float64), scale) ** 2).sum()) ** 0.5 for v in vectors])
     reach = np.minimum(own * longest * 1.0001 + 2, 2**61).astype(np.int64)
-    low, width, above = -reach, (2 * reach) // bins + 1, np.zeros(n, np.int64)  # the interval is low + width * bins
+    low, width, above = -reach, (2 * reach) // bins + 1, np.zeros(n, np.int64)
+    top = low + width * bins  # the interval ends before it; refined bins may reach past it, where scores are in `above` already
     open_ = np.ones(n, bool)
     while open_.any():
-        at, base, step = np.flatnonzero(open_), low.copy(), width.copy()
+        at, base, step, end = np.flatnonzero(open_), low.copy(), width.copy(), top.copy()
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             score, place = scorer.value, np.full(n, -1)
@@ -108,7 +109,7 @@ def _block(rows: DataFrame, ids: list[int], vectors: list[list[float]], k: int,
                 for queries, names, scores in score(batch):
                     of = place[queries]
                     cell = (scores - base[queries]) // step[queries]
-                    good = (of >= 0) & (cell >= 0) & (cell < bins) & (names[:, None] != score.ids[queries])
+                    good = (of >= 0) & (cell >= 0) & (scores < end[queries]) & (names[:, None] != score.ids[queries])
                     held += np.bincount((of * bins + cell)[good], minlength=len(held))
             some = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array(at[some // bins], pa.int32()), pa.array(some % bins, pa.int32()), pa.array(held[some])], ["q", "bin", "n"])
@@ -124,6 +125,7 @@ def _block(rows: DataFrame, ids: list[int], vectors: list[list[float]], k: int,
             q = r["q"]
             seen.add(q)
             low[q] += width[q] * r["bin"]
+            top[q] = min(top[q], low[q] + width[q])
             above[q] += r["reached"] - r["n"]
             if width[q] > 1 and above[q] + r["n"] > 4 * k:
                 open_[q] = True

@@ -35,6 +35,18 @@ def test_top_k(spark, bins, block):
     assert exact_top_k(table.filter("vec_id = 10"), F.col("vec_id") % 10 == 0, 5).count() == 0
 
 
+def test_top_k_among_many_near_copies(spark):
+    """A refined interval narrower than its bins ends where the bin it refines does."""
+    pick = random.Random(3)
+    rows = []
+    for g in range(3):
+        centre = [pick.uniform(-0.3, 0.3) for _ in range(16)]
+        rows += [(len(rows) + i, [(1.02 if i < 4 else 1) * x + pick.uniform(-0.0002, 0.0002) for x in centre]) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = exact_top_k(table, F.col("vec_id") % 15 == 0, 5, bins=1024)
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == _brute(rows, 5, lambda i: i % 15 == 0)
+
+
 def _graded(seed, n):
     """Grade 0..3 by how many of six marked words a text has."""
     pick = random.Random(seed)

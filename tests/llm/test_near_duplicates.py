@@ -143,6 +143,21 @@ def test_every_shared_window_of_fifty_words_is_found(spark):
     assert need <= got
 
 
+@pytest.mark.parametrize("gap", range(10, 61, 5))
+def test_exact_passages_on_both_sides_of_a_gap(gap):
+    """Whatever stands between them, every word of two exact passages of fifty words is in a passage that holds its bound."""
+    pick = random.Random(gap)
+    for _ in range(20):
+        one, two = (np.array([pick.randrange(1 << 30) for _ in range(50)], "<u4") for _ in range(2))
+        between = [np.array([pick.randrange(1 << 30) for _ in range(gap + d)], "<u4") for d in (0, pick.choice([0, 3]))]
+        a, b = (np.concatenate((one, x, two)) for x in between)
+        anchors = [(i, i) for i in range(pick.randrange(16), 43, 16)] + [(50 + gap + i, 50 + len(between[1]) + i) for i in range(pick.randrange(16), 43, 16)]
+        found = passages_of(a, b, np.array(anchors))
+        covered = {k for p in found for k in range(p[0], p[1])}
+        assert set(range(50)) | set(range(50 + gap, 100 + gap)) <= covered
+        assert all(min(p[1] - p[0], p[3] - p[2]) >= 50 and p[5] >= 0.8 and p[4] <= p[1] - p[0] for p in found)
+
+
 def test_winnowing_leaves_a_seed_in_every_window():
     import pyarrow as pa
 

@@ -143,6 +143,16 @@ def test_every_shared_window_of_fifty_words_is_found(spark):
     assert need <= got
 
 
+def test_a_whole_passage_is_found_whoever_holds_its_parts(spark):
+    for seed in range(3):
+        pick = random.Random(seed)
+        whole, rows = _words(80, pick), []
+        for i, part in enumerate((whole[:40], whole[40:], whole, whole[:40], whole[40:], whole), 1):
+            rows.append((i, " ".join(_words(30, pick) + part + _words(30, pick))))
+        got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert [(r["doc_id"], r["source_id"], r["start_word"], r["end_word"]) for r in got] == [(6, 3, 30, 110)]
+
+
 @pytest.mark.parametrize("gap", range(10, 61, 5))
 def test_exact_passages_on_both_sides_of_a_gap(gap):
     """Whatever stands between them, every word of two exact passages of fifty words is in a passage that holds its bound."""

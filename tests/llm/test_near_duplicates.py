@@ -153,6 +153,19 @@ def test_a_whole_passage_is_found_whoever_holds_its_parts(spark):
         assert [(r["doc_id"], r["source_id"], r["start_word"], r["end_word"]) for r in got] == [(6, 3, 30, 110)]
 
 
+@pytest.mark.parametrize("words, changed, least", [(50, 4, 0.95), (50, 5, 0.95), (60, 9, 0.75), (100, 15, 0.95)])
+def test_recall_of_changed_passages(spark, words, changed, least):
+    pick, rows, n = random.Random(words + changed), [], 60
+    for i in range(n):
+        passage = _words(words, pick)
+        copy = list(passage)
+        for k in pick.sample(range(3, words - 3), changed):
+            copy[k] += "x"
+        rows += [(j, " ".join(_words(30, pick) + part + _words(30, pick))) for j, part in ((i, passage), (n + i, copy))]
+    got = {(r["doc_id"], r["source_id"]) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert len(got & {(n + i, i) for i in range(n)}) >= least * n and all(a - b == n for a, b in got)
+
+
 @pytest.mark.parametrize("gap", range(10, 61, 5))
 def test_exact_passages_on_both_sides_of_a_gap(gap):
     """Whatever stands between them, every word of two exact passages of fifty words is in a passage that holds its bound."""

@@ -260,6 +260,24 @@ def test_line_links_hold_and_none_within_three_bits_is_lost(spark):
     assert {min(i for i, g in enumerate(groups) if g == c) for c in set(groups)} <= kept
 
 
+def test_recall_of_like_lines(spark):
+    """Of lines with a tenth of their characters changed, in whole words or anywhere, nearly all meet the line they come from."""
+    pick, lines, n = random.Random(7), [], 150
+    for i in range(n):
+        line = " ".join("".join(pick.choice("abcdefghij") for _ in range(pick.randrange(2, 10))) for _ in range(pick.choice([5, 8, 15, 40])))
+        most, copy = int(0.1 * len(line)), list(line)
+        if i % 2:
+            at = pick.randrange(len(line) - most)
+            copy[at:at + most] = ["z" if x != " " else x for x in copy[at:at + most]]
+        else:
+            for k in pick.sample(range(len(line)), int(0.6 * most)):
+                copy[k] = "z" if copy[k] != " " else copy[k]
+        lines.append((line, "".join(copy)))
+    docs = spark.createDataFrame([(n * k + i, pair[k]) for i, pair in enumerate(lines) for k in (0, 1)], "doc_id long, text string")
+    dropped = {r["doc_id"] for r in dedup_lines(docs).collect() if r["n_dropped"]}
+    assert dropped <= set(range(n, 2 * n)) and len(dropped) >= 0.97 * n
+
+
 def _hits(text, items):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
     words, hit, names = split(text), set(), set()

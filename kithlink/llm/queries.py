@@ -136,7 +136,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kithlink.llm.lines import dedup_lines
 
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    return dedup_lines(table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -260,6 +260,18 @@ def test_line_links_hold_and_none_within_three_bits_is_lost(spark):
     assert {min(i for i, g in enumerate(groups) if g == c) for c in set(groups)} <= kept
 
 
+def test_registered_query_and_pipeline_drop_short_lines(spark, tmp_path):
+    import corpus_pipeline
+    from kithlink.llm.queries import op9_lines
+
+    texts = ["Share this page\nHome\n\n今日は天気がとても良いので散歩に行きました", "HOME.\nother\n\n***", "share this  page\n今日は天気がとても良いので散歩に行きました\nlast", "***\nnumber 7\nNumber 8"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {0: texts[0], 1: "other\n\n***", 2: "last", 3: texts[3]}
+    assert {r["doc_id"]: r["text"] for r in op9_lines(spark, str(tmp_path)).collect()} == want
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()} == want
+
+
 def test_recall_of_like_lines(spark):
     """Of lines with a tenth of their characters changed, in whole words or anywhere, nearly all meet the line they come from."""
     pick, lines, n = random.Random(7), [], 150

@@ -131,7 +131,7 @@ def _pairs(tokens: np.ndarray, groups: int, wanted: int) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, marked: np.ndarray, size: int, percent: int) -> DataFrame:
-    """A row a document: id, n, fp1, fp2 (of its set), least (shared signatures), keys (signatures; none where the task has had the same set before)."""
+    """A row a document: id, n, fp1, fp2 (of its set), least (shared signatures), keys (signatures; none without an id, or where the task has had the same set before)."""
     shared = docs.sparkSession.sparkContext.broadcast(marked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,9 +147,10 @@ def _signed(docs: DataFrame, marked: np.ndarray, size: int, percent: int) -> Dat
                 with np.errstate(over="ignore"):
                     for k, salt in enumerate((0x51, 0xA7)):
                         fp[k][some] = mix(np.add.reduceat(mix(tokens ^ np.uint64(salt)), bounds[:-1][some]) + sizes[some].astype(np.uint64)) if len(some) else 0
+                named = batch.column(0).slice(a, b - a).is_valid().to_pylist()
                 keys, least = [], np.zeros(b - a, np.int32)
                 for i, (x, y) in enumerate(zip(fp[0].tolist(), fp[1].tolist())):
-                    if sizes[i] == 0 or (x, y) in seen:
+                    if sizes[i] == 0 or not named[i] or (x, y) in seen:  # rows without an id link with nothing
                         keys.append(np.empty(0, np.int64))
                         continue
                     if len(seen) < 200_000:

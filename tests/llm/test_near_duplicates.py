@@ -72,6 +72,14 @@ def test_jaccard_odd_tables(spark):
     assert near_duplicate_groups(docs.limit(0)).count() == 0
 
 
+def test_a_null_id_does_not_take_the_signatures_of_an_equal_text(spark):
+    text = [f"w{i}" for i in range(60)]
+    near = [*text[:59], "other"]
+    docs = spark.createDataFrame([(None, " ".join(text)), (1, " ".join(text)), (2, " ".join(near))], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicate_groups(docs).collect()}
+    assert got == {None: None, 1: 1, 2: 1}
+
+
 def test_signatures_meet_for_every_similar_pair():
     """Whatever tokens count as frequent, sets that reach the bound share a signature."""
     pick = random.Random(5)

@@ -34,7 +34,7 @@ def stray_pairs(hubbed: DataFrame, components: DataFrame, extra: list[str], cond
     own = hubbed.join(named, F.col(node) == F.col("of"), "left").withColumn("own", F.coalesce("component", F.col(node))).drop("of", "component")
     whole = Window.partitionBy(key)
     mixed = own.withColumn("least", F.min("own").over(whole)).withColumn("most", F.max("own").over(whole)).filter("least <> most")
-    mixed = mixed.withColumn("main", F.max(F.when(F.col(node) == F.col("hub"), F.col("own"))).over(whole)).select(key, node, "own", "main", *extra)
+    mixed = mixed.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy(key, "own"))).withColumn("main", F.max(F.struct("held", "own")).over(whole)["own"]).select(key, node, "own", "main", *extra)
     mixed = materialize(mixed, "mixed")
     left, right = mixed.filter("own <> main").alias("l"), mixed.alias("r")
     once = (F.col("r.own") == F.col("r.main")) | (F.col(f"l.{node}") < F.col(f"r.{node}"))  # two strays meet from either side
@@ -44,27 +44,38 @@ def stray_pairs(hubbed: DataFrame, components: DataFrame, extra: list[str], cond
     return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("enough").alias("enough"))
 
 
-def hub_edges(buckets: DataFrame, named: DataFrame, seed: int, extra: list[str], condition, enough=None, key: str = "key", node: str = "node") -> DataFrame:
+def hub_edges(buckets: DataFrame, named: DataFrame | None, seed: int, extra: list[str], condition, enough=None, key: str = "key", node: str = "node", often: str | None = None) -> DataFrame:
     """(a, b), a < b: each node with one hub of another component, of those that meet the condition the one with most buckets in common.
 
-    A bucket's hub is the member of least hash under the seed. extra: columns that the condition reads, the hub's as hub_{column}.
+    A bucket's hub is the member with the highest `often`, if that is given, and of those the one of least hash under the seed: what near
+    copies were made from is there more often than any of them. named: components so far, None: none. extra: columns that the condition reads, the hub's as hub_{column}.
     enough: of the same columns; a hub that shares less than half of it is left to the strays.
     """
-    of = named.select(F.col("node").alias("of"), "component")
-    own = buckets.join(of, F.col(node) == F.col("of"), "left").withColumn("own", F.coalesce("component", F.col(node))).select(key, node, "own", *extra)
-    parts = [F.xxhash64(F.lit(seed), "own", node).alias("o"), F.col(node).alias("hub"), F.col("own").alias("hub_own"), *(F.col(c).alias(f"hub_{c}") for c in extra)]
+    if named is None:
+        own = buckets.select(key, node, F.col(node).alias("own"), *extra, *([often] if often else []))
+    else:
+        of = named.select(F.col("node").alias("of"), "component")
+        own = buckets.join(of, F.col(node) == F.col("of"), "left").withColumn("own", F.coalesce("component", F.col(node))).select(key, node, "own", *extra, *([often] if often else []))
+    parts = [*([(-F.col(often)).alias("rank")] if often else []), F.xxhash64(F.lit(seed), "own", node).alias("o"), F.col(node).alias("hub"), F.col("own").alias("hub_own"), *(F.col(c).alias(f"hub_{c}") for c in extra)]
     met = own.withColumn("h", F.min(F.struct(*parts)).over(Window.partitionBy(key))).select(node, "own", *extra, "h.hub", "h.hub_own", *(f"h.hub_{c}" for c in extra)).filter("own <> hub_own").filter(condition)
     shared = met.groupBy(node, "hub").agg(F.count(F.lit(1)).alias("shared"), F.max(F.lit(1) if enough is None else enough).alias("enough")).filter("2 * shared >= enough")
     best = shared.groupBy(node).agg(F.max(F.struct("shared", F.xxhash64("hub").alias("o"), "hub")).alias("m")).select(F.col(node).alias("x"), F.col("m.hub").alias("y"))
     return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def link_through_hubs(buckets: DataFrame, links: DataFrame, verify, extra: list[str], condition, enough=None, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """(links, tested): rounds of hub edges under other seeds, as long as a tenth of them holds. verify: candidate (a, b) to those that hold."""
+def link_through_hubs(buckets: DataFrame, links: DataFrame | None, verify, extra: list[str], condition, enough=None, rounds: int = ROUNDS, often: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(links, tested): rounds of hub edges under other seeds, as long as a tenth of them holds. verify: candidate (a, b) to those that hold.
+
+    links: what is linked already, None: nothing. The first round's hubs are the members with the highest `often`, if that is given.
+    """
     tested = links
     for seed in range(rounds):
-        edges = hub_edges(buckets, components(links), seed, extra, condition, enough).join(tested, ["a", "b"], "left_anti")
+        edges = hub_edges(buckets, None if links is None else components(links), seed, extra, condition, enough, often=None if seed else often)
+        if tested is not None:
+            edges = edges.join(tested, ["a", "b"], "left_anti")
         edges = materialize(edges, "hub-edges")
+        if links is None:
+            links = tested = edges.limit(0)
         n = edges.count()
         if not n:
             break

@@ -245,27 +245,38 @@ def test_lines(spark):
     assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [0, 0, 1, 3, 4, 5, 6]
 
 
-def test_line_links_hold_and_none_within_three_bits_is_lost(spark):
+def test_fuzzy_lines_go_as_brute_force_says(spark):
+    """Of every group by edit similarity all lines but the first go, and no other line does."""
     pick = random.Random(6)
     lines = []
-    for _ in range(12):
-        base = [f"word{pick.randrange(500)}" for _ in range(pick.randrange(8, 40))]
-        for _ in range(4):
+    for n in range(30):
+        base = ["".join(pick.choice("abcdefghiklmnoprstu") for _ in range(pick.randrange(3, 9))) for _ in range(pick.choice([4, 8, 15, 40, 90]))]
+        for k in range(4):
             copy = list(base)
-            if pick.random() < 0.8:
-                k = pick.randrange(len(copy))
-                copy[k] += pick.choice(["", "s", "x"])
-            lines.append(" ".join(copy))
-    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    kept = {r["doc_id"] for r in dedup_lines(docs).collect() if r["n_dropped"] == 0}
-    forms = [_form(x) for x in lines]
-    first = {}
-    for i, f in enumerate(forms):
-        if first.setdefault(f, i) != i:
-            assert i not in kept
-    alike = [(a, b) for a in range(len(forms)) for b in range(a) if _distance(forms[a], forms[b]) <= 0.1 * max(len(forms[a]), len(forms[b]))]
+            for _ in range(k * len(copy) // 30 + (k > 0)):
+                i = pick.randrange(len(copy))
+                kind = pick.randrange(4)
+                copy[i:i + 1] = [copy[i] + "x"] if kind == 0 else [copy[i][1:]] if kind == 1 else [copy[i], "zu"] if kind == 2 else ["ku"]
+            lines.append(" ".join(copy).upper() if k == 2 else " ".join(copy) + ".")
+    lines += ["word " * 5000, "word " * 5001, "a" * 70_000, "a" * 69_999 + "b"]  # very long lines
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    dropped = {r["doc_id"] for r in dedup_lines(docs, min_words=1).collect() if r["n_dropped"]}
+    forms = [_form(x) for x in lines[:-4]]
+    alike = [(a, b) for a in range(len(forms)) for b in range(a) if abs(len(forms[a]) - len(forms[b])) <= 0.1 * max(len(forms[a]), len(forms[b])) and a // 4 == b // 4 and _distance(forms[a], forms[b]) <= 0.1 * max(len(forms[a]), len(forms[b])) + 1e-9]
     groups = _components(len(forms), alike)
-    assert {min(i for i, g in enumerate(groups) if g == c) for c in set(groups)} <= kept
+    first = {min(i for i, g in enumerate(groups) if g == c) for c in set(groups)}
+    want = (set(range(len(forms))) - first) | {len(lines) - 3}
+    assert len(want) > 60 and want - {len(lines) - 1} == dropped - {len(lines) - 1}
+
+
+def test_hot_lines_and_repeats_of_lines_with_nulls(spark):
+    """A line in every document stays once, near copies of it go, and rows that repeat or lack an id are taken as dedup_lines says."""
+    hot = "This very line stands in every one of the documents here"
+    rows = [(i, f"{hot}\nown line number {i} {'pqrstuvw'[i % 8] * 9} {i * 7919}") for i in range(1, 60)] + [(None, hot), (7, f"{hot}\nown line number 7 {'pqrstuvw'[7] * 9} {7 * 7919}"), (80, hot + "s"), (81, None), (82, "")]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = [r["doc_id"] for r in got if r["text"] and "very line" in r["text"]]
+    assert kept == [1]
+    assert {r["doc_id"]: r["text"] for r in got if r["doc_id"] in (None, 80, 81, 82)} == {None: "", 80: "", 81: None, 82: ""}
 
 
 def test_registered_query_and_pipeline_drop_short_lines(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one only where that is unset and all runs on this machine (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = getattr(spark, "_kithlink_scratch", None)
         if not root:
@@ -39,6 +42,12 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of plans that nothing refers to any more; it notices only when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_scratch(*tables: DataFrame) -> None:
     """Delete scratch tables that no returned DataFrame reads."""
     for df in tables:

@@ -6,8 +6,9 @@ either are missing in the other; so a prefix that holds size - need + 1 tokens m
 without a common signature must have one. A rare token is a signature by itself; a prefix of rare tokens is made longer
 still, so that similar sets must share a number of them, which tells candidates from documents that only share
 a passage. Frequent tokens fall into groups, and a signature is a pair of tokens of one group; each group
-a prefix touches costs it one token more. Buckets of documents with a common signature are linked through hubs (linking.py), and every candidate is
-verified on the whole sets.
+a prefix touches costs it one token more. One document of each class of equal sets stands for all of them. In a bucket of documents
+with a common signature each is compared with a hub, the one with most equal copies (linking.py); documents with the same hub are then
+compared in blocks, those with other hubs where they share a bucket. Every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from kithlink.llm.common import byte_batches, drop_scratch, materialize, utf8_lengths
-from kithlink.llm.linking import components, link_through_hubs, stray_pairs, with_hubs
+from kithlink.llm.common import byte_batches, drop_scratch, materialize, release, utf8_lengths
+from kithlink.llm.linking import components, hub_edges, shared_keys, stray_pairs, undirected
 from kithlink.llm.shingles import mix, shingle_sets
 
 SIZE = 5
@@ -38,6 +38,8 @@ FURTHER = 8
 #: Documents that one copy of a hub's set is compared with.
 FAN = 100
 BROADCAST_ROWS = 300_000
+#: Documents and bytes of sets in a block.
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
 BATCH_BYTES = 4 << 20
 
 
@@ -164,37 +166,48 @@ def _signed(docs: DataFrame, marked: np.ndarray, size: int, percent: int) -> Dat
     return docs.mapInArrow(run, "node long, n long, fp1 long, fp2 long, least int, keys array<long>")
 
 
-def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of candidate edges (a, b) those whose sets reach the bound.
+def _sets_at(docs: DataFrame, goals: DataFrame, size: int) -> DataFrame:
+    """goals: (node, and the columns of its goal). A row (of these columns, node, tokens) for each, with the set of the node's text.
 
-    Each a's set goes to b, whose own set goes there once for every FAN of them: no task holds more of a hub's pairs than that.
-    The texts meet the edges by a broadcast of the ids while these are at most BROADCAST_ROWS rows, else by a shuffle.
+    The texts meet the goals by a broadcast of these while they are at most BROADCAST_ROWS rows, else by a shuffle.
     """
-    fan = Window.partitionBy("b")
-    placed = edges.withColumn("salts", F.ceil(F.count(F.lit(1)).over(fan) / FAN).cast("int")).withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
-    members = placed.select(F.col("a").alias("node"), F.struct(F.col("b").alias("target"), "salt").alias("goal"))
-    hubs = placed.select(F.col("b").alias("node"), F.struct(F.col("b").alias("target"), "salt").alias("goal")).distinct()
-    goals = materialize(members.unionByName(hubs).groupBy("node").agg(F.collect_list("goal").alias("goals")), "goals")
-    right = F.broadcast(goals) if goals.count() <= BROADCAST_ROWS else goals
-    here = docs.join(right, "node").select("node", "text", "goals")
+    columns = [c for c in goals.columns if c != "node"]
+    kinds = {c: goals.schema[c].dataType for c in columns}
+    wanted = materialize(goals.groupBy("node").agg(F.collect_list(F.struct(*columns)).alias("goals")), "goals")
+    numbers = wanted.agg(F.sum(F.size("goals")).alias("n")).first()["n"] or 0
+    here = docs.join(F.broadcast(wanted) if numbers <= BROADCAST_ROWS else wanted, "node").select("node", "text", "goals")
+    arrow = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    fields = [*(pa.field(c, arrow[k.simpleString()]) for c, k in kinds.items()), pa.field("node", pa.int64()), pa.field("tokens", pa.binary())]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, nodes, goals_ = batch.column(1), batch.column(0), batch.column(2)
+            texts, nodes, all_goals = batch.column(1), batch.column(0), batch.column(2)
             for a, b in byte_batches(utf8_lengths(texts), BATCH_BYTES):
                 tokens, bounds = shingle_sets(texts.slice(a, b - a), size)
                 rows, held = [], 0
                 for i in range(b - a):
-                    data = tokens[bounds[i]:bounds[i + 1]].tobytes()
-                    node = nodes[a + i].as_py()
-                    for goal in goals_[a + i].as_py():
-                        rows.append((goal["target"], goal["salt"], node != goal["target"], node, data))
+                    data, node = tokens[bounds[i]:bounds[i + 1]].tobytes(), nodes[a + i].as_py()
+                    for goal in all_goals[a + i].as_py():
+                        rows.append((*(goal[c] for c in columns), node, data))
                         held += len(data)
-                        if held > 16 << 20:
-                            yield _sent(rows)
+                        if held > BATCH_BYTES:
+                            yield _sent(rows, fields)
                             rows, held = [], 0
                 if rows:
-                    yield _sent(rows)
+                    yield _sent(rows, fields)
+
+    return here.mapInArrow(send, ", ".join([*(f"{c} {k.simpleString()}" for c, k in kinds.items()), "node long", "tokens binary"]))
+
+
+def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of candidate edges (a, b) those whose sets reach the bound.
+
+    Each a's set goes to b, whose own set goes there once for every FAN of them: no task holds more of a hub's pairs than that.
+    """
+    fans = edges.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("salts"))
+    placed = edges.join(fans, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
+    members = placed.select(F.col("a").alias("node"), F.col("b").alias("target"), "salt", F.lit(True).alias("member"))
+    hubs = placed.select(F.col("b").alias("node"), F.col("b").alias("target"), "salt", F.lit(False).alias("member")).distinct()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, own = None, []
@@ -206,23 +219,94 @@ def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> Dat
                 tokens = np.frombuffer(data, np.uint64)
                 if not member:
                     own.append(tokens)
-                    continue
-                for other in own:
-                    if min(len(other), len(tokens)) * 100 >= percent * max(len(other), len(tokens)):
-                        both = len(np.intersect1d(other, tokens, assume_unique=True))
-                        if 100 * both >= percent * (len(other) + len(tokens) - both):
-                            found.append((node, target))
-                            break
+                elif any(_similar(other, tokens, percent) for other in own):
+                    found.append((node, target))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+                yield _links(found)
 
-    sets = here.mapInArrow(send, "target long, salt int, member boolean, node long, tokens binary")
+    sets = _sets_at(docs, members.unionByName(hubs), size)
     return sets.repartition("target", "salt").sortWithinPartitions("target", "salt", "member").mapInArrow(compare, "a long, b long").distinct()
 
 
-def _sent(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)], ["target", "salt", "member", "node", "tokens"])
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def links_of_block(nodes: np.ndarray, own: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect what hangs together among the sets of a block; own: the components so far.
+
+    side: 0 for the sets of one tile and 1 for those of another, of which only pairs across count; all 0: all pairs count. A token of one set whose bit
+    the other's bitmap lacks is missing there, so the bits tell most pairs apart; the rest is compared whole.
+    """
+    n = np.array([len(s) for s in sets])
+    bits = 1 << int(np.clip(np.ceil(np.log2(4 * np.median(n) + 64)), 8, 15))
+    maps = np.zeros((len(sets), bits // 64), np.uint64)
+    for i, s in enumerate(sets):
+        at = (mix(s) & np.uint64(bits - 1)).astype(np.int64)
+        np.bitwise_or.at(maps[i], at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    own, found = own.copy(), []
+    names, counts = np.unique(own, return_counts=True)
+    largest = names[np.argmax(counts)]
+    two = len(np.unique(side)) > 1
+    for i in np.flatnonzero(own != largest).tolist():
+        near = (own != own[i]) & (np.minimum(n, n[i]) * 100 >= percent * np.maximum(n, n[i]))
+        if two:
+            near &= side != side[i]
+        at = np.flatnonzero(near)
+        need = -(-percent * (n[at] + n[i]) // (100 + percent))
+        at = at[(np.bitwise_count(maps[i] & ~maps[at]).sum(1) <= n[i] - need) & (np.bitwise_count(maps[at] & ~maps[i]).sum(1) <= n[at] - need)]
+        for j in at.tolist():
+            if own[i] != own[j] and _similar(sets[i], sets[j], percent):
+                found.append((int(nodes[i]), int(nodes[j])))
+                own[own == own[j]] = own[i]
+    return found
+
+
+def _links_by_pivot(docs: DataFrame, pivots: DataFrame, sizes: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links among nodes with the same pivot, in tiles of bounded size: every pair of tiles is a block, and no pair is a row.
+
+    Groups where all hang together have nothing left to compare and are left out.
+    """
+    own = pivots.join(named.withColumnRenamed("component", "own"), "node", "left").select("node", "pivot", F.coalesce("own", "node").alias("own"))
+    own = own.join(sizes, "node")
+    groups = own.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.min("own").alias("least"), F.max("own").alias("most"), F.sum("n").alias("tokens")).filter("members > 1 and least <> most")
+    tiles = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("tokens") * 8 / BLOCK_BYTES)).cast("int")
+    placed = own.join(groups.select("pivot", tiles.alias("tiles")), "pivot").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda k: F.struct(F.least("tile", k).alias("i"), F.greatest("tile", k).alias("j")))
+    goals = placed.select("node", "pivot", "own", "tile", F.inline(others)).select("node", "pivot", "i", "j", (F.col("tile") != F.col("i")).cast("int").alias("side"), "own")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held = None, []
+
+        def ended() -> list[tuple[int, int]]:
+            if len(held) < 2:
+                return []
+            nodes, own, side = (np.array([h[k] for h in held], np.int64) for k in range(3))
+            return links_of_block(nodes, own, side, [h[3] for h in held], percent)
+
+        for batch in batches:
+            for pivot, i, j, side, own, node, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if (pivot, i, j) != place:
+                    if found := ended():
+                        yield _links(found)
+                    place, held = (pivot, i, j), []
+                held.append((node, own, side, np.frombuffer(data, np.uint64)))
+        if found := ended():
+            yield _links(found)
+
+    sets = _sets_at(docs, goals, size)
+    return sets.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(compare, "a long, b long").filter("a <> b").distinct()
+
+
+def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+
+def _sent(rows: list[tuple], fields: list[pa.Field]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), fields)], schema=pa.schema(fields))
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -230,19 +314,34 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
     signed = materialize(_signed(base, frequent_buckets(docs, text_col, size), size, percent), "signed")
     sizes = materialize(signed.select("node", "n", "fp1", "fp2"), "set-sizes")
-    exploded = signed.filter("node is not null").select("node", "n", "least", F.explode("keys").alias("key"))
-    buckets = materialize(with_hubs(exploded), "buckets")
-    drop_scratch(signed)
 
-    # equal sets are linked without a comparison, each to the least id of its kind
+    # equal sets are linked without a comparison, each to the least id of its kind; one that has keys stands for all
     alive = sizes.filter("node is not null and n > 0")
     first = alive.groupBy("fp1", "fp2", "n").agg(F.min("node").alias("a"))
     links = materialize(alive.join(first, ["fp1", "fp2", "n"]).select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "links")
+    kinds = signed.filter("node is not null and n > 0").groupBy("fp1", "fp2", "n").agg(F.min(F.when(F.size("keys") > 0, F.col("node"))).alias("node"), F.count(F.lit(1)).alias("often"))
+    kinds = materialize(kinds, "set-kinds")
+    chosen = signed.filter(F.size("keys") > 0).join(kinds, ["fp1", "fp2", "n", "node"]).dropDuplicates(["fp1", "fp2", "n"])
+    # two numbers in one: fewer bytes cross the shuffle
+    exploded = chosen.select("node", (F.shiftleft(F.col("n"), 31) + F.col("least")).alias("sized"), F.col("often").cast("int").alias("often"), F.explode("keys").alias("key"))
+    buckets = materialize(shared_keys(exploded).select("key", "node", F.shiftright("sized", 31).alias("n"), F.col("sized").bitwiseAND((1 << 31) - 1).cast("int").alias("least"), "often"), "buckets")
+    drop_scratch(signed, kinds)
+    release(docs.sparkSession)
+
     near = F.least("n", "hub_n") * 100 >= percent * F.greatest("n", "hub_n")
-    links, tested = link_through_hubs(buckets, links, lambda edges: _verified(base, edges, size, percent), ["n", "least"], near, F.least("least", "hub_least"))
+    hubs = materialize(hub_edges(buckets, "often", ["n", "least"], near, F.least("least", "hub_least")), "hub-edges")
+    links = materialize(links.unionByName(_verified(base, hubs.select(F.col("x").alias("a"), F.col("y").alias("b")), size, percent)), "links")
+    release(docs.sparkSession)
+    pivots = hubs.select(F.col("x").alias("node"), F.col("y").alias("pivot"))
+    of_node = alive.groupBy("node").agg(F.max("n").alias("n"))
+    links = materialize(links.unionByName(_links_by_pivot(base, pivots, of_node, components(links), size, percent)), "links")
+    release(docs.sparkSession)
+
     fits = F.least("l.n", "r.n") * 100 >= percent * F.greatest("l.n", "r.n")
-    met = stray_pairs(buckets, components(links), ["n", "least"], fits, enough=F.least("l.least", "r.least"))
-    strays = materialize(met.filter("shared >= enough").select("a", "b").join(tested, ["a", "b"], "left_anti"), "stray-pairs")
+    met = stray_pairs(buckets, components(links), ["n", "least"], fits, enough=F.least("l.least", "r.least"), pivots=pivots)
+    strays = materialize(met.filter("shared >= enough").select("a", "b").join(undirected(hubs), ["a", "b"], "left_anti"), "stray-pairs")
+    drop_scratch(buckets)
+    release(docs.sparkSession)
     if not strays.isEmpty():
         links = materialize(links.unionByName(_verified(base, strays, size, percent)), "links")
     return sizes.select("node", "n"), links

@@ -1,8 +1,8 @@
 """Links inside buckets without emitting all their pairs, and connected components; DataFrame operations only.
 
-A bucket's members are first compared with one hub each, for some rounds under other seeds, so a large group soon
-hangs together. Then only members outside their bucket's main component are compared with members of other
-components. No pair of one bucket is left out unless its two ends are connected already.
+Every member of a bucket is first compared with one hub, so a large group soon hangs together. Then only members outside
+their bucket's largest component are compared with members of other components. No pair of one bucket is left out
+unless its two ends are connected already, or the caller compares it otherwise.
 """
 
 from __future__ import annotations
@@ -13,24 +13,26 @@ from pyspark.sql.window import Window
 
 from kithlink.llm.common import materialize
 
-#: Rounds of hub edges at most, before all that is left is compared.
-ROUNDS = 4
 #: Rows of a round's graph tables that one task writes; small graphs take few tasks, whatever the number of shuffle partitions.
 ROWS_A_TASK = 100_000
 
 
-def with_hubs(rows: DataFrame, key: str = "key", node: str = "node") -> DataFrame:
-    """Rows of buckets with at least two distinct nodes, each with its bucket's hub, the least of them. One shuffle by key."""
+def shared_keys(rows: DataFrame, key: str = "key", node: str = "node") -> DataFrame:
+    """Rows of buckets with at least two distinct nodes. One shuffle by key."""
     whole = Window.partitionBy(key)
-    return rows.withColumn("hub", F.min(node).over(whole)).withColumn("last", F.max(node).over(whole)).filter("hub <> last").drop("last")
+    return rows.withColumn("least_", F.min(node).over(whole)).withColumn("most_", F.max(node).over(whole)).filter("least_ <> most_").drop("least_", "most_")
 
 
-def stray_pairs(hubbed: DataFrame, components: DataFrame, extra: list[str], condition, key: str = "key", node: str = "node", enough=None) -> DataFrame:
+def stray_pairs(hubbed: DataFrame, components: DataFrame, extra: list[str], condition, key: str = "key", node: str = "node", enough=None, pivots: DataFrame | None = None) -> DataFrame:
     """(a, b, shared), a < b, within a bucket and in different components, for which the condition holds; shared: in how many buckets.
 
-    extra: columns of hubbed that the condition needs, under aliases l and r. enough: a column of theirs to return besides, the same for a pair in every bucket. A node without a row in components is its own component.
+    extra: columns of hubbed that the condition needs, under aliases l and r. enough: a column of theirs to return besides, the same for a pair in every bucket.
+    pivots: (node, pivot); pairs with the same pivot are left out. A node without a row in components is its own component.
     """
     named = components.select(F.col("node").alias("of"), "component")
+    if pivots is not None:
+        named = named.join(pivots.select(F.col("node").alias("of"), "pivot"), "of", "full")
+        extra, condition = [*extra, "pivot"], condition & F.coalesce(F.col("l.pivot") != F.col("r.pivot"), F.lit(True))
     own = hubbed.join(named, F.col(node) == F.col("of"), "left").withColumn("own", F.coalesce("component", F.col(node))).drop("of", "component")
     whole = Window.partitionBy(key)
     mixed = own.withColumn("least", F.min("own").over(whole)).withColumn("most", F.max("own").over(whole)).filter("least <> most")
@@ -44,46 +46,22 @@ def stray_pairs(hubbed: DataFrame, components: DataFrame, extra: list[str], cond
     return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("enough").alias("enough"))
 
 
-def hub_edges(buckets: DataFrame, named: DataFrame | None, seed: int, extra: list[str], condition, enough=None, key: str = "key", node: str = "node", often: str | None = None) -> DataFrame:
-    """(a, b), a < b: each node with one hub of another component, of those that meet the condition the one with most buckets in common.
+def hub_edges(buckets: DataFrame, often: str, extra: list[str], condition, enough=None, key: str = "key", node: str = "node") -> DataFrame:
+    """(x, y): each node x with one hub y, of those that meet the condition the one with most buckets in common.
 
-    A bucket's hub is the member with the highest `often`, if that is given, and of those the one of least hash under the seed: what near
-    copies were made from is there more often than any of them. named: components so far, None: none. extra: columns that the condition reads, the hub's as hub_{column}.
+    A bucket's hub is the member with the highest `often`, and of those the one of least hash: what near copies were made from
+    is there more often than any of them. extra: columns that the condition reads, the hub's as hub_{column}.
     enough: of the same columns; a hub that shares less than half of it is left to the strays.
     """
-    if named is None:
-        own = buckets.select(key, node, F.col(node).alias("own"), *extra, *([often] if often else []))
-    else:
-        of = named.select(F.col("node").alias("of"), "component")
-        own = buckets.join(of, F.col(node) == F.col("of"), "left").withColumn("own", F.coalesce("component", F.col(node))).select(key, node, "own", *extra, *([often] if often else []))
-    parts = [*([(-F.col(often)).alias("rank")] if often else []), F.xxhash64(F.lit(seed), "own", node).alias("o"), F.col(node).alias("hub"), F.col("own").alias("hub_own"), *(F.col(c).alias(f"hub_{c}") for c in extra)]
-    met = own.withColumn("h", F.min(F.struct(*parts)).over(Window.partitionBy(key))).select(node, "own", *extra, "h.hub", "h.hub_own", *(f"h.hub_{c}" for c in extra)).filter("own <> hub_own").filter(condition)
+    parts = [(-F.col(often)).alias("rank"), F.xxhash64(node).alias("o"), F.col(node).alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in extra)]
+    met = buckets.withColumn("h", F.min(F.struct(*parts)).over(Window.partitionBy(key))).select(node, *extra, "h.hub", *(f"h.hub_{c}" for c in extra)).filter(f"{node} <> hub").filter(condition)
     shared = met.groupBy(node, "hub").agg(F.count(F.lit(1)).alias("shared"), F.max(F.lit(1) if enough is None else enough).alias("enough")).filter("2 * shared >= enough")
-    best = shared.groupBy(node).agg(F.max(F.struct("shared", F.xxhash64("hub").alias("o"), "hub")).alias("m")).select(F.col(node).alias("x"), F.col("m.hub").alias("y"))
-    return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return shared.groupBy(node).agg(F.max(F.struct("shared", F.xxhash64("hub").alias("o"), "hub")).alias("m")).select(F.col(node).alias("x"), F.col("m.hub").alias("y"))
 
 
-def link_through_hubs(buckets: DataFrame, links: DataFrame | None, verify, extra: list[str], condition, enough=None, rounds: int = ROUNDS, often: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(links, tested): rounds of hub edges under other seeds, as long as a tenth of them holds. verify: candidate (a, b) to those that hold.
-
-    links: what is linked already, None: nothing. The first round's hubs are the members with the highest `often`, if that is given.
-    """
-    tested = links
-    for seed in range(rounds):
-        edges = hub_edges(buckets, None if links is None else components(links), seed, extra, condition, enough, often=None if seed else often)
-        if tested is not None:
-            edges = edges.join(tested, ["a", "b"], "left_anti")
-        edges = materialize(edges, "hub-edges")
-        if links is None:
-            links = tested = edges.limit(0)
-        n = edges.count()
-        if not n:
-            break
-        found = materialize(verify(edges), "hub-links")
-        links, tested = links.unionByName(found), tested.unionByName(edges)
-        if found.count() * 10 < n:
-            break
-    return links, tested
+def undirected(edges: DataFrame) -> DataFrame:
+    """(x, y) as (a, b), a < b, each once."""
+    return edges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -36,12 +36,17 @@ def exact_words(text: Column) -> Column:
 
 def coarse_words(text: Column) -> Column:
     """The same number of words at the same places, all letters lower case: equal wherever exact words are, and cheaper."""
-    return _split(F.lower(text))
+    return _split(_lowered(text))
+
+
+def _lowered(text: Column) -> Column:
+    """Lower case letter by letter. Only the capital sigma would depend on what stands around it, so it goes first."""
+    return F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3")))
 
 
 def _keys(words: str, size: int, lowered: bool = False) -> Column:
     """The hash of each run of `size` words; one that begins at each place where a run fits."""
-    word = (lambda i: F.lower(F.col(words)[i])) if lowered else (lambda i: F.col(words)[i])
+    word = (lambda i: _lowered(F.col(words)[i])) if lowered else (lambda i: F.col(words)[i])
     runs = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.xxhash64(*(word(i + k) for k in range(size))))
     return F.when(F.size(words) >= size, runs)
 
@@ -67,7 +72,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     Null and empty texts have no words. Items without words or id take no part; items that repeat an id count once in
     n_items. Rows that repeat an id, a text or both each give a row. No items: nothing is hit. Only the named columns
-    are read, so others can't clash. Windows of the items are broadcast while they number at most BROADCAST_ROWS, and
+    are read, so others can't clash. Very long texts count whole; an empty docs gives an empty result. Windows of the items are broadcast while they number at most BROADCAST_ROWS, and
     so are the places to compare; beyond that Spark joins them by shuffling.
     """
     windows = materialize(_windows(items, item_col, item_text_col), "windows")
@@ -93,7 +98,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         ranked = each.join(rarity, ["size", "key"], "left").groupBy("item", "length", "size", "h1", "h2").agg(F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "key", "offset")).alias("first"))
         prefix = ranked.filter("first.often > 0").select("item", "length", "size", "h1", "h2", "first.key", "first.offset")
         fits = (F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n_words"))
-        spots = found.join(_small(prefix, known), ["size", "key"]).withColumn("start", F.col("place") - F.col("offset")).filter(fits)
+        spots = found.join(_small(prefix, windows.count()), ["size", "key"]).withColumn("start", F.col("place") - F.col("offset")).filter(fits)
         spots = materialize(spots.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "length", "h1", "h2", "item")).alias("spots")), "spots")
     if spots is None:
         joined = base.withColumn("spots", F.lit(None).cast("array<struct<start:int,length:int,h1:long,h2:long,item:long>>"))

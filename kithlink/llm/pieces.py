@@ -25,7 +25,9 @@ from kithlink.llm.common import byte_batches, utf8_lengths
 
 SPACE = "▁"
 #: Distinct chunks one worker remembers before it starts anew (memory bound).
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+#: Bytes of text that a worker holds as ids at once.
+BATCH_BYTES = 1 << 20
 
 
 class CharacterMap:
@@ -348,7 +350,7 @@ def _digested(docs: DataFrame, vocabulary: str, columns: list[tuple], schema: st
         pieces = model(vocabulary)
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
-            for a, b in byte_batches(utf8_lengths(texts), 4 << 20):
+            for a, b in byte_batches(utf8_lengths(texts), BATCH_BYTES):
                 rows = pieces.digests(texts.slice(a, b - a))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array([r[k] for r in rows], kind) for _, kind, k in columns)], ["id", *(n for n, _, _ in columns)])
 

@@ -323,6 +323,16 @@ def _hits(text, items):
     return len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
 
 
+def test_contamination_of_capital_sigmas_and_very_long_texts(spark):
+    """A sigma at the end of a word has a small form of its own, which must not tell a document from an item."""
+    passage = "\u0391\u03a3'\u0391 b c d e f g h i j"
+    texts = [passage, f"x {passage}. y", "\u0391\u03a3 b c d e f g h i j", ("z " * 300_000) + passage, "\u0391\u03c2'\u0391 b c d e f g h i j"]
+    items = [(1, passage), (2, "\u0391\u03a3 b c d e f g h i j")]
+    got = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in contamination(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect())
+    assert got[0][2] == 11 and got[2][2] == 10 and got[3][2] == 11
+    assert [g for g in got if g[0] != 3] == sorted((i, *_hits(t, items)) for i, t in enumerate(texts) if i != 3)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_contamination(spark, seed):
     pick = random.Random(seed)

@@ -25,9 +25,9 @@ from kithlink.llm.common import byte_batches, utf8_lengths
 
 SPACE = "▁"
 #: Distinct chunks one worker remembers before it starts anew (memory bound).
-REMEMBERED = 100_000
+REMEMBERED = 40_000
 #: Bytes of text that a worker holds as ids at once.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 
 class CharacterMap:

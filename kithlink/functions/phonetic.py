@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -35,7 +36,6 @@ def soundex(text: Column, profile: str = "main") -> Column:
 
 # What each context turns into, the first fitting rule wins. '' says nothing.
 METAPHONE_RULES = [
-    (r"([^C])(?<=\1\1)", ""),
     (r"\A[AEIOUY]", None), (r"[AEIOUY]", ""),
     (r"(?<=M)B\Z", ""), (r"B", "B"),
     (r"C(?=[EIY])", "S"), (r"CH", "X"), (r"C", "K"),
@@ -51,48 +51,53 @@ METAPHONE_STARTS = [("KN", ""), ("GN", ""), ("PN", ""), ("AE", ""), ("WR", ""),
 NYSIIS_STARTS = [("MAC", "MCC"), ("KN", "N"), ("K", "C"), ("PH", "FF"), ("PF", "FF"), ("SCH", "SSS")]
 NYSIIS_ENDS = [("EE", "Y"), ("IE", "Y"), ("DT", "D"), ("RT", "RD"), ("RD", "RD"), ("NT", "ND"), ("ND", "ND")]
 
-_NUMBERED = [re.sub(r"\\1", lambda _, n=n: f"(?P=d{n})", p.replace("([^C])", f"(?P<d{n}>[^C])")) for n, (p, _) in enumerate(METAPHONE_RULES)]
-_METAPHONE = re.compile("|".join(f"(?P<r{n}>{p})" for n, p in enumerate(_NUMBERED)), re.DOTALL)
-_VOWELS = frozenset("AEIOU")
+# The end of the code, a letter and the one after it, and what the end of the code becomes; the first fitting rule wins.
+NYSIIS_RULES = [
+    (r"A[AEIOU].", r"A"), (r"(.)[AEIOU].", r"\1A"),
+    (r"([^AEIOU])H[AEIOU]", r"\1\1"), (r"(.)H.", r"\1"),
+    (r"([AEIOU])W.", r"\1W"), (r"(.)W.", r"\1"),
+    (r"HP.", r"F"), (r"CK.", r"CC"),
+    (r"(.)Q.", r"\1G"), (r"(.)Z.", r"\1S"), (r"(.)M.", r"\1N"),
+    (r"(.)([KSP]).", r"\1\2"),
+    (r"(.)\1.", r"\1"), (r"(.)(.).", r"\1\2"),
+]
+
+_METAPHONE = re.compile("|".join(f"(?P<r{n}>{p})" for n, (p, _) in enumerate(METAPHONE_RULES)), re.DOTALL)
+_NYSIIS = [(re.compile(p, re.DOTALL), said) for p, said in NYSIIS_RULES]
 
 
 def metaphone_code(text: str | None) -> str:
     text = (text or "").upper()
-    start = next(((1, said) for head, said in METAPHONE_STARTS if text.startswith(head)), (0, ""))
-    out = [start[1]]
-    for hit in _METAPHONE.finditer(text, start[0]):
-        rule = int(hit.lastgroup[1:]) if hit.lastgroup[0] == "r" else 0
-        said = METAPHONE_RULES[rule][1]
+    at, said = next(((1, said) for head, said in METAPHONE_STARTS if text.startswith(head)), (0, ""))
+    out = [said]
+    while at < len(text):
+        if at and text[at] == text[at - 1] != "C":  # a doubled letter is said once
+            at += 1
+            continue
+        hit = _METAPHONE.match(text, at)
+        said = METAPHONE_RULES[int(hit.lastgroup[1:])][1]
         out.append(hit.group() if said is None else said)
+        at = hit.end()
     return "".join(out)[:10]
 
 
+@lru_cache(maxsize=1 << 15)
+def _rewritten(end: str, letter: str, following: str) -> str:
+    """What the end of a NYSIIS code becomes with the next letter."""
+    return next(hit.expand(said) for rule, said in _NYSIIS if (hit := rule.fullmatch(end + letter + following)))
+
+
 def nysiis_code(text: str | None) -> str:
     text = (text or "").upper()
     if not text:
         return ""
     text = next((said + text[len(head):] for head, said in NYSIIS_STARTS if text.startswith(head)), text)
     text = next((text[:-len(tail)] + said for tail, said in NYSIIS_ENDS if text.endswith(tail)), text)
-    code = text[0]
-    for c, following in zip(text[1:], text[2:] + " "):
-        last = code[-1:]
-        if c in _VOWELS:
-            code += "" if last == "A" else "A"
-        elif c == "H":
-            code += last if last not in _VOWELS and following in _VOWELS else ""
-        elif c == "W":
-            code += "W" if last in _VOWELS else ""
-        elif c == "P" and last == "H":
-            code = code[:-1] + "F"
-        elif c == "K" and last == "C":
-            code += "C"
-        elif c in "QZMKSP":
-            code += c.translate({81: "G", 90: "S", 77: "N"})
-        elif c != last:
-            code += c
-    for end in "SA":
-        code = code.removesuffix(end)
-    return code[:6]
+    code, end = "", text[0]
+    for letter, following in zip(text[1:], text[2:] + " "):
+        new = _rewritten(end, letter, following)
+        code, end = code + new[:-1], new[-1]
+    return (code + end).removesuffix("S").removesuffix("A")[:6]
 
 
 @F.pandas_udf(StringType())

@@ -11,7 +11,7 @@ import unicodedata
 from itertools import chain
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -87,6 +87,16 @@ def collapse_whitespace(text: Column) -> Column:
 remove_extra_spaces = collapse_whitespace
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def staged(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with these columns computed once a row: generated ones aren't pasted into the expressions that use them."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def words(text: Column) -> Column:
     """Words between white space; an empty text has none."""
     return F.filter(F.split(collapse_whitespace(text), " "), lambda w: w != "")
@@ -104,10 +114,14 @@ def expand_abbreviations(text: Column, table: dict[str, str]) -> Column:
 
 def standardize_business_suffixes(text: Column, profile: str = "main") -> Column:
     """Only the last three words may be suffixes."""
-    table, all_ = SUFFIXES[profile], words(text)
-    head = F.slice(all_, 1, F.greatest(F.size(all_) - 3, F.lit(0)))
-    tail = F.slice(all_, F.greatest(F.size(all_) - 2, F.lit(1)), 3)
-    return F.array_join(F.concat(head, F.transform(tail, lambda w: _lookup(w, table))), " ")
+    table = SUFFIXES[profile]
+
+    def of(all_: Column) -> Column:
+        head = F.slice(all_, 1, F.greatest(F.size(all_) - 3, F.lit(0)))
+        tail = F.slice(all_, F.greatest(F.size(all_) - 2, F.lit(1)), 3)
+        return F.array_join(F.concat(head, F.transform(tail, lambda w: _lookup(w, table))), " ")
+
+    return let(words(text), of)
 
 
 def standardize_address_abbreviations(text: Column, profile: str = "main") -> Column:
@@ -138,9 +152,11 @@ def tokens(text: Column, min_length: int | None = None, stopwords: list[str] | N
 
 def ngrams(text: Column, n: int = 3) -> Column:
     """Runs of n characters without white space; a shorter text is one, an empty one none."""
-    bare = F.regexp_replace(F.lower(text), SPACES, "")
-    many = F.transform(F.sequence(F.lit(1), F.length(bare) - n + 1), lambda i: F.substring(bare, i, F.lit(n)))
-    return F.when(F.length(bare) >= n, many).when(bare == "", F.array().cast("array<string>")).otherwise(F.array(bare))
+    def of(bare: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.length(bare) - n + 1), lambda i: F.substring(bare, i, F.lit(n)))
+        return F.when(F.length(bare) >= n, many).when(bare == "", F.array().cast("array<string>")).otherwise(F.array(bare))
+
+    return let(F.regexp_replace(F.lower(text), SPACES, ""), of)
 
 
 def landmark_tokens(address: Column) -> Column:

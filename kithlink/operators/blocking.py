@@ -35,7 +35,7 @@ def union_sources(s1: DataFrame, s2: DataFrame, s3: DataFrame) -> DataFrame:
 
 def with_normal_forms(records: DataFrame, profile: str = "main") -> DataFrame:
     """records with nn and na, the normal forms of name and address."""
-    return records.withColumn("nn", T.normalize_name(F.col("name"), profile)).withColumn("na", T.normalize_address(F.col("address"), profile))
+    return T.staged(records, nn=T.normalize_name(F.col("name"), profile), na=T.normalize_address(F.col("address"), profile))
 
 
 def _tagged(prefix: str, values: Column) -> Column:
@@ -54,28 +54,30 @@ def _nth(array: Column, n: int = 1) -> Column:
 def name_keys(nn: Column, config: dict | None = None) -> Column:
     """Main profile, beside columns metaphone and nysiis. A name without usable tokens gives '_empty_' only."""
     c = DEFAULTS | (config or {})
-    toks = T.tokens(nn, c["name_token_min_length"], NAME_STOPWORDS)
-    size = F.size(toks)
-    parts = []
-    if c["use_first_token"]:
-        parts.append(_one(size >= 1, "name_first:", _nth(toks)))
-    if c["use_first_two_tokens"]:
-        parts.append(_one(size >= 2, "name_first2:", _nth(toks), "_", _nth(toks, 2)))
-    if c["use_name_tokens"]:
-        parts.append(_tagged("name_token", F.slice(toks, 1, c["name_token_max_tokens"])))
-    if c["use_name_ngrams"]:
-        grams = F.flatten(F.transform(F.slice(toks, 1, 3), lambda t: F.slice(T.ngrams(t, c["name_ngram_size"]), 1, 5)))
-        parts.append(_tagged("name_ngram", grams))
-    for name, code in (("soundex", P.soundex(nn)), ("metaphone", F.col("metaphone")), ("nysiis", F.col("nysiis"))):
-        if c[f"use_{name}"]:
-            parts.append(F.array(F.concat(F.lit(f"name_{name}:"), code)))
-    return F.when(size == 0, F.array(F.lit("_empty_"))).otherwise(F.concat(*parts))
-
-
-def address_keys(na: Column, config: dict | None = None) -> Column:
-    """Main profile, from the normal form (whose commas are gone, so a state key never comes up)."""
+
+    def of(toks: Column) -> Column:
+        size, parts = F.size(toks), []
+        if c["use_first_token"]:
+            parts.append(_one(size >= 1, "name_first:", _nth(toks)))
+        if c["use_first_two_tokens"]:
+            parts.append(_one(size >= 2, "name_first2:", _nth(toks), "_", _nth(toks, 2)))
+        if c["use_name_tokens"]:
+            parts.append(_tagged("name_token", F.slice(toks, 1, c["name_token_max_tokens"])))
+        if c["use_name_ngrams"]:
+            grams = F.flatten(F.transform(F.slice(toks, 1, 3), lambda t: F.slice(T.ngrams(t, c["name_ngram_size"]), 1, 5)))
+            parts.append(_tagged("name_ngram", grams))
+        for name, code in (("soundex", P.soundex(nn)), ("metaphone", F.col("metaphone")), ("nysiis", F.col("nysiis"))):
+            if c[f"use_{name}"]:
+                parts.append(F.array(F.concat(F.lit(f"name_{name}:"), code)))
+        return F.when(size == 0, F.array(F.lit("_empty_"))).otherwise(F.concat(*parts))
+
+    return T.let(T.tokens(nn, c["name_token_min_length"], NAME_STOPWORDS), of)
+
+
+def address_keys(na: Column, config: dict | None = None, components: Column | None = None) -> Column:
+    """Main profile, from the normal form (whose commas are gone, so a state key never comes up). components: of na, if they are a column already."""
     c = DEFAULTS | (config or {})
-    parts_of = A.address_components(na)
+    parts_of = A.address_components(na) if components is None else components
     postal, house, city, state = (parts_of[k] for k in ("postal_code", "house_number", "city", "state"))
     parts = []
     if c["use_postal_code_prefix"]:
@@ -96,21 +98,30 @@ def address_keys(na: Column, config: dict | None = None) -> Column:
 
 def cross_keys(nn: Column, na: Column, config: dict | None = None) -> Column:
     """Main profile: first name word with postal prefix, and with the first address word; plain words, no stop words."""
-    n, a, postal = T.words(nn), T.words(na), A.postal_code(na)
     size = (DEFAULTS | (config or {}))["postal_code_prefix_length"]
-    return F.concat(_one((F.size(n) > 0) & (postal != ""), "cross:", _nth(n), "_", F.substring(postal, 1, size)), _one((F.size(n) > 0) & (F.size(a) > 0), "cross_first:", _nth(n), "_", _nth(a)))
+
+    def of(read: Column) -> Column:
+        n, a, postal = read["n"], read["a"], read["postal"]
+        return F.concat(_one((F.size(n) > 0) & (postal != ""), "cross:", _nth(n), "_", F.substring(postal, 1, size)), _one((F.size(n) > 0) & (F.size(a) > 0), "cross_first:", _nth(n), "_", _nth(a)))
+
+    return T.let(F.struct(T.words(nn).alias("n"), T.words(na).alias("a"), A.postal_code(na).alias("postal")), of)
 
 
 def evaluate_keys(nn: Column, na: Column) -> Column:
     """Evaluate profile: no stop words, all trigrams of the first three tokens, Soundex even of an empty name."""
-    n, a, postal = T.tokens(nn, profile="evaluate"), T.tokens(na, profile="evaluate"), A.postal_code(na, "evaluate")
-    grams = F.flatten(F.transform(F.slice(n, 1, 3), lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - 2), lambda i: F.substring(t, i, F.lit(3)))))
-    return F.concat(
-        _one(F.size(n) >= 1, "nf:", _nth(n)), _one(F.size(n) >= 2, "n2:", _nth(n), "_", _nth(n, 2)), _tagged("nt", F.slice(n, 1, 5)), _tagged("ng", grams),
-        F.array(F.concat(F.lit("sdx:"), P.soundex(nn, "evaluate"))), _one(postal != "", "pp:", F.substring(postal, 1, 3)), _one(postal != "", "pf:", postal), _tagged("at", F.slice(a, 1, 3)),
-        _one(F.size(a) >= 2, "a2:", _nth(a), "_", _nth(a, 2)), _one((F.size(n) > 0) & (postal != ""), "cx:", _nth(n), "_", F.substring(postal, 1, 3)),
-        _one((F.size(n) > 0) & (F.size(a) > 0), "cxa:", _nth(n), "_", _nth(a)),
-    )
+
+    def of(read: Column) -> Column:
+        n, a, postal = read["n"], read["a"], read["postal"]
+        grams = F.flatten(F.transform(F.slice(n, 1, 3), lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - 2), lambda i: F.substring(t, i, F.lit(3)))))
+        return F.concat(
+            _one(F.size(n) >= 1, "nf:", _nth(n)), _one(F.size(n) >= 2, "n2:", _nth(n), "_", _nth(n, 2)), _tagged("nt", F.slice(n, 1, 5)), _tagged("ng", grams),
+            F.array(F.concat(F.lit("sdx:"), P.soundex(nn, "evaluate"))), _one(postal != "", "pp:", F.substring(postal, 1, 3)), _one(postal != "", "pf:", postal), _tagged("at", F.slice(a, 1, 3)),
+            _one(F.size(a) >= 2, "a2:", _nth(a), "_", _nth(a, 2)), _one((F.size(n) > 0) & (postal != ""), "cx:", _nth(n), "_", F.substring(postal, 1, 3)),
+            _one((F.size(n) > 0) & (F.size(a) > 0), "cxa:", _nth(n), "_", _nth(a)),
+        )
+
+    found = F.struct(T.tokens(nn, profile="evaluate").alias("n"), T.tokens(na, profile="evaluate").alias("a"), A.postal_code(na, "evaluate").alias("postal"))
+    return T.let(found, of)
 
 
 def keyed(records: DataFrame, profile: str = "main", config: dict | None = None) -> DataFrame:
@@ -121,7 +132,8 @@ def keyed(records: DataFrame, profile: str = "main", config: dict | None = None)
         for name, code in (("metaphone", P.metaphone), ("nysiis", P.nysiis)):
             if c[f"use_{name}"]:
                 forms = forms.withColumn(name, code(F.col("nn")))
-        parts = [name_keys(F.col("nn"), config), address_keys(F.col("na"), config)]
+        forms = T.staged(forms, parts=A.address_components(F.col("na")))
+        parts = [name_keys(F.col("nn"), config), address_keys(F.col("na"), config, F.col("parts"))]
         keys = F.concat(*parts, *([cross_keys(F.col("nn"), F.col("na"), config)] if c["use_cross"] else []))
     else:
         keys = evaluate_keys(F.col("nn"), F.col("na"))

@@ -44,8 +44,10 @@ def query(sql: str | None = None):
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source, id, row, name, address."""
+    blanks = " \t\n\f\r"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    w = F.split(F.trim(F.regexp_replace("text", r"[ \t\n\f\r]+", " ")), " ")
+    docs = T.staged(docs, w=F.split(F.btrim("text", F.lit(blanks)), f"[{blanks}]+", 16))  # the rest of the text is the last part
+    w = F.col("w")
     source = F.pmod("doc_id", F.lit(3)) + 1
     code = F.lpad((F.col("n_chars") * 7919 % 100000).cast("string"), 5, "0")
     address = F.concat_ws(" ", (F.col("n_chars") % 997 + 1).cast("string"), F.array_join(F.slice(w, 6, 10), " "), code)

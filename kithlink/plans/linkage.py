@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithlink.operators import blocking, metrics, resolve
-from kithlink.operators.features import feature_matrix, with_tfidf
+from kithlink.operators.features import feature_matrix, fit_vocabularies, with_tfidf
 from kithlink.operators.models import BalancedLogistic, Ensemble
 from kithlink.operators.neighbours import nearest
 from kithlink.sources import tsv
@@ -22,6 +22,8 @@ class Linkage:
     config: dict = field(default_factory=dict)
     model: Ensemble | BalancedLogistic | None = None
     threshold: float = 0.5
+    #: TF-IDF vocabularies of the training records, by field; kept for prediction, as features of other vocabularies don't fit the model.
+    vocabularies: dict[str, DataFrame] | None = None
 
     @property
     def blocking(self) -> dict:
@@ -37,11 +39,12 @@ class Linkage:
         near = nearest(records.filter("source = 'source1'"), records.filter("source <> 'source1'"), self.blocking.get("neighbours", 60))
         return blocking.hybrid_candidates(found, near, k).select("source1_id", "candidate_id", "source")
 
-    def matrix(self, pairs: DataFrame, records: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
-        return feature_matrix(pairs, with_tfidf(records, self.profile, corpus), self.profile)
+    def matrix(self, pairs: DataFrame, records: DataFrame) -> DataFrame:
+        return feature_matrix(pairs, with_tfidf(records, self.profile, vocabularies=self.vocabularies), self.profile)
 
     def train(self, records: DataFrame, truth: DataFrame, held_out: float | None = None) -> dict:
         """truth: (source1_id, matched_ids). held_out: share of entities kept apart for threshold and metrics; None uses the training pairs, as the main profile does."""
+        self.vocabularies = {field: words.persist() for field, words in fit_vocabularies(records, self.profile).items()}
         pairs = resolve.with_labels(self.candidates(records), resolve.truth_pairs(truth))
         labelled = self.matrix(pairs, records).cache()
         fit, test = resolve.split(labelled, 1 - held_out, keys=("source1_id",)) if held_out else (labelled, labelled)
@@ -74,13 +77,16 @@ class Linkage:
     def save(self, path: str) -> None:
         self.model.save(path)
         spark = SparkSession.getActiveSession()
+        for field, words in (self.vocabularies or {}).items():
+            words.coalesce(1).write.mode("overwrite").parquet(f"{path}/vocabulary_{field}")  # at most max_features rows
         spark.createDataFrame([(self.profile, float(self.threshold))], "profile string, threshold double").coalesce(1).write.mode("overwrite").parquet(f"{path}/linkage")
 
     @classmethod
     def load(cls, path: str, config: dict | None = None) -> "Linkage":
-        row = SparkSession.getActiveSession().read.parquet(f"{path}/linkage").first()
+        spark = SparkSession.getActiveSession()
+        row = spark.read.parquet(f"{path}/linkage").first()
         model = (Ensemble if row["profile"] == "main" else BalancedLogistic).load(path)
-        return cls(row["profile"], config or {}, model, row["threshold"])
+        return cls(row["profile"], config or {}, model, row["threshold"], {field: spark.read.parquet(f"{path}/vocabulary_{field}") for field in ("name", "address")})
 
 
 def evaluate(records: DataFrame, truth: DataFrame, sample: int | None = None, decoys: tuple[int, int] = (500, 50_000)) -> dict:

@@ -1,4 +1,4 @@
-"""Blocking, metrics, models, files and validators."""
+"""Blocking, metrics, models, files, validators, and the whole."""
 
 import json
 import random
@@ -10,6 +10,7 @@ from kithlink.operators import blocking, metrics, resolve, tfidf, validate
 from kithlink.operators.features import feature_matrix, feature_names
 from kithlink.operators.models import BalancedLogistic, BoostedTrees, CrossEncoder, Ensemble
 from kithlink.operators.neighbours import nearest, nearest_approximate
+from kithlink.plans.linkage import Linkage, evaluate
 from kithlink.sources import tsv
 
 RECORD = "source string, id string, row long, name string, address string"
@@ -124,6 +125,30 @@ def test_ids_and_samples(spark):
     assert train.count() + test.count() == 500 and abs(train.count() - 400) < 12 and 70 <= train.filter("label = 1").count() <= 90
 
 
+def test_the_whole_from_training_to_a_loaded_model(spark, tmp_path):
+    rows, truth_rows = _records(40)
+    records, truth = spark.createDataFrame(rows, RECORD), spark.createDataFrame(truth_rows, "source1_id string, matched_ids string")
+    linkage = Linkage("evaluate", {"blocking": {"max_candidates_per_source1": 10}})
+    got = linkage.train(records, truth)
+    assert got["blocking_recall"] == 1 and got["f05"] > 0.9
+    linkage.save(f"{tmp_path}/m")
+    again = Linkage.load(f"{tmp_path}/m", linkage.config)
+    assert again.threshold == linkage.threshold
+    others = spark.createDataFrame([r for r in rows if int(r[1].split("-")[1]) % 3 == 0], RECORD)  # other records than it was trained on
+    scores = lambda x: sorted((r["source1_id"], r["candidate_id"], round(r["prob"], 9)) for r in x.scored(others).collect())
+    own = scores(linkage)
+    assert own and scores(again) == own
+    whole = {(r["source1_id"], r["candidate_id"]): r["prob"] for r in linkage.scored(records).collect()}
+    assert all(abs(whole[a, b] - p) < 1e-6 for a, b, p in own if (a, b) in whole)  # a pair's features don't depend on what is predicted beside it
+    assert len({r["source1_id"] for r in again.predict(records).collect()}) == 40
+
+
+def test_evaluation_end_to_end(spark):
+    rows, truth_rows = _records(40)
+    out = evaluate(spark.createDataFrame(rows, RECORD), spark.createDataFrame(truth_rows, "source1_id string, matched_ids string"), decoys=(1, 10))
+    assert out["macro_f05"] > 0.8 and len(out["top"]) == 10
+
+
 def test_ensemble(spark, tmp_path):
     pick = random.Random(3)
     rows = [(f"S1-{i}", f"S2-{i}", pick.gauss(i % 2, 0.4), pick.random(), i % 2) for i in range(120)]

@@ -12,7 +12,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, keep_grade: int = 1, ke
     """One row per document: doc_id, expected_grade, tail_probability = P(grade >= keep_grade), keep (tail_probability >= keep_at).
 
     Words and form of the text share one weight vector under ordered thresholds; grades are whatever integers the labels hold.
-    Null texts count as empty. Repeated rows each give a row. Without labels, or with one grade only, every row gets that
+    Null texts count as empty, very long ones whole. Repeated rows each give a row. An empty docs gives an empty result. Without labels, or with one grade only, every row gets that
     grade. Only doc_id and text are read. Fit on at most max_rows labels.
     """
     model = ordinal.fit_on(docs, labels, grade_col, ordinal.quality_features, max_rows=max_rows)
@@ -28,7 +28,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, reject_grade: int = 1, re
     """One row per document: doc_id, expected_severity, tail_probability = P(severity >= reject_grade), toxic (tail_probability >= reject_at).
 
     Null and empty texts have no words and get the severity that the thresholds alone give. Repeated rows each give a row.
-    Without labels nothing is toxic. Only doc_id and text are read.
+    Very long texts count whole. An empty docs gives an empty result. Without labels nothing is toxic. Only doc_id and text are read.
     """
     scored = ordinal.score(docs, toxicity_model(docs, labels), ordinal.word_features, reject_grade)
     return scored.select("doc_id", F.col("expected").alias("expected_severity"), F.col("tail").alias("tail_probability"), (F.col("tail") >= reject_at).alias("toxic"))

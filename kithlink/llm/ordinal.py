@@ -230,10 +230,11 @@ def _descend(rows: np.ndarray, hashes: np.ndarray, grades: np.ndarray, l1: float
 def fit_on(docs: DataFrame, labels: DataFrame, grade_col: str, featurize: Featurizer, id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_TRAINING_ROWS, l1: float = 2e-4, rounds: int = 300) -> OrdinalModel:
     """Fit on at most max_rows labelled rows: a documented bound, chosen by the hash of the id, so by chance and always the same.
 
-    Rows without id, grade or text are left out. No labels: a model without grades, which expects 0 everywhere.
+    Rows without id, grade or text are left out; of rows that repeat a labelled id the least text counts, so no more than max_rows come to the driver. No labels: a model without grades, which expects 0 everywhere.
     """
     chosen = labels.select(F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade")).dropna().distinct().orderBy(F.xxhash64("id"), "id", "grade").limit(max_rows)
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna().join(F.broadcast(chosen), "id").select("grade", "text")
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna().join(F.broadcast(chosen), "id")
+    sample = sample.groupBy("id", "grade").agg(F.min("text").alias("text")).select("grade", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -333,7 +333,7 @@ def piece_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     """Encode and decode every text; return only digests: n_tokens, ids_sha256, decoded_sha256, covered_bytes.
 
     The ids and spans stay in the worker, so nothing but a short row a document leaves it.
-    Null and empty texts: 0 tokens, digests of empty strings. Repeated rows each give a row; other columns are not read.
+    Null and empty texts: 0 tokens, digests of empty strings. Very long texts count whole; an empty table gives an empty result. Repeated rows each give a row; other columns are not read.
     """
     columns = [("n_tokens", pa.int64(), 0), ("ids_sha256", pa.string(), 1), ("decoded_sha256", pa.string(), 2), ("covered_bytes", pa.int64(), 3)]
     return _digested(docs, vocabulary, columns, "n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long", id_col, text_col)

@@ -89,6 +89,8 @@ class ShardWriter:
         self.at = len(MAGIC)
 
     def add(self, key: int | None, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) >> 8 * self.width:
+            raise OverflowError(f"id {int(ids.max())} does not fit into {self.width} bytes")
         data, value = key_bytes(key), np.ascontiguousarray(ids, self.dtype).tobytes()
         if self.last is not None and data < self.last:
             raise ValueError("keys must ascend")
@@ -199,7 +201,8 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_
 
     Null texts count as empty (their ids are just end_id). Null ids sort first. Rows of equal id all stay, in an order
     fixed by their texts; they may span shards, so one id can hold any share of the rows. Only id and text are read.
-    One range shuffle of the texts; the writer holds one block. An empty table writes an empty manifest.
+    One range shuffle of the texts; the writer holds one block, and of a very long text all its ids. An empty table writes an empty manifest.
+    Ids have id_width bytes, 2 or 4; one that doesn't fit raises OverflowError.
     """
     spark = docs.sparkSession
 
@@ -272,12 +275,25 @@ def _columns(rows: list[tuple]) -> pa.RecordBatch:
 def lookup(manifest: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The ids of the given documents: doc_id, ids array<int>; a key without a document gives no row.
 
-    Keys meet the shards whose range holds them by a range condition on the manifest, which has a row a shard.
+    Every task has the first and last key of each shard, a row of the manifest, and finds a key's shards among them by bisection;
+    each shard's keys then go to one task. Null keys are not looked up.
     """
-    wanted = keys.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
+    spark = manifest.sparkSession
+    wanted = keys.select(F.col(id_col).cast("long").alias("doc_id")).dropna().distinct()
     # null keys come first in a shard, so any key up to its last one may follow them
-    shards = manifest.select("path", F.coalesce("first_key", F.lit(-(1 << 63))).alias("first_key"), "last_key")
-    here = wanted.join(F.broadcast(shards), (F.col("doc_id") >= F.col("first_key")) & (F.col("doc_id") <= F.col("last_key")))
+    shards = manifest.filter("last_key is not null").select(F.coalesce("first_key", F.lit(-(1 << 63))).alias("first"), F.col("last_key").alias("last"), "path").orderBy("shard").toArrow()
+    bounds = spark.sparkContext.broadcast((shards.column("first").to_numpy(), shards.column("last").to_numpy(), shards.column("path").to_pylist()))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last, paths = bounds.value
+        for batch in batches:
+            own = batch.column(0).to_numpy(zero_copy_only=False)
+            begin, end = np.searchsorted(last, own, "left"), np.searchsorted(first, own, "right")
+            times = np.maximum(end - begin, 0)
+            at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(begin, times)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, times)), pa.array([paths[k] for k in at.tolist()], pa.string())], ["doc_id", "path"])
+
+    here = wanted.mapInArrow(find, "doc_id long, path string").repartition("path").sortWithinPartitions("path", "doc_id")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: dict[str, ShardReader] = {}

@@ -69,7 +69,7 @@ def exact_top_k(vectors: DataFrame, is_query, k: int, scale: int = 256, id_col:
     are all rows with another id. Result: query_id, rank (from 1), the id column, score; ties go to smaller ids; fewer
     than k rows where there are fewer candidates. Null vectors, vectors with null or non-finite components and null ids
     take no part; vectors meet only vectors of their own dimension. Rows that repeat an id each count as candidates;
-    equal query rows are one query. Other columns are not read. No query, or an empty table: no rows.
+    equal query rows are one query. A score beyond a long raises OverflowError. Other columns are not read. No query, or an empty table: no rows.
     Queries go in blocks of about `block`; a block's vectors and intervals (bounded by that number) are all the driver holds.
     """
     spark = vectors.sparkSession

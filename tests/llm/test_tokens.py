@@ -156,3 +156,15 @@ def test_token_shards(spark, tmp_path):
     assert sorted((r["doc_id"], r["ids"]) for r in found) == sorted([(3, ids[3, texts[3]]), (3, ids[3, "again"]), (3, ids[3, "again"]), (5, ids[5, texts[5]])])
     empty = write_shards(docs.limit(0), f"file://{tmp_path}/none", WORD_VOCABULARY, end_id=1)
     assert empty.count() == 0 and read_shards(empty).count() == 0
+
+
+def test_ids_that_do_not_fit_raise():
+    import io
+
+    import numpy as np
+
+    from kithlink.llm.sstable import ShardWriter
+
+    ShardWriter(io.BytesIO(), 2).add(1, np.array([0xFFFF], np.uint32))
+    with pytest.raises(OverflowError):
+        ShardWriter(io.BytesIO(), 2).add(1, np.array([70_000], np.uint32))

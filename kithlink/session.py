@@ -24,7 +24,10 @@ def local_session(cpus: int = 8, name: str = "kithlink") -> SparkSession:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and send them batches that a few MB of memory hold, unless the session says how many rows."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(rows) and spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, "2000")
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -42,6 +44,19 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def frugal(run):
+    """run, for mapInArrow, with what it has freed given back to the system at its end: Spark keeps workers, and their memory, for later stages."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return go
+
+
 def release(spark: SparkSession) -> None:
     """Have Spark delete the shuffle files of plans that nothing refers to any more; it notices only when the driver collects garbage."""
     gc.collect()

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kithlink.llm.common import byte_batches, drop_scratch, materialize, release, utf8_lengths
+from kithlink.llm.common import byte_batches, drop_scratch, frugal, materialize, release, utf8_lengths
 from kithlink.llm.linking import components, hub_edges, shared_keys, stray_pairs, undirected
 from kithlink.llm.shingles import mix, shingle_sets
 
@@ -40,7 +40,7 @@ FAN = 100
 BROADCAST_ROWS = 300_000
 #: Documents and bytes of sets in a block.
 BLOCK, BLOCK_BYTES = 1024, 16 << 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
@@ -74,7 +74,7 @@ def frequent_buckets(docs: DataFrame, text_col: str = "text", size: int = SIZE)
         bits = np.packbits(total > usual + 6 * usual**0.5 + 48)
         return pa.table({"part": table.column("part").slice(0, 1), "bits": pa.array([bits.tobytes()], pa.binary())})
 
-    cells = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "part int, task int, cells binary")
+    cells = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(frugal(count), "part int, task int, cells binary")
     for level in (64, 4096):
         cells = cells.withColumn("g", (F.col("task") / level).cast("int")).groupBy("part", "g").applyInArrow(add, "part int, task int, cells binary")
     rows = cells.groupBy("part").applyInArrow(mark, "part int, bits binary").collect()  # BUCKETS bits in all
@@ -163,7 +163,7 @@ def _signed(docs: DataFrame, marked: np.ndarray, size: int, percent: int) -> Dat
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(fp[0].view(np.int64)), pa.array(fp[1].view(np.int64)), pa.array(least), lists], ["node", "n", "fp1", "fp2", "least", "keys"])
 
-    return docs.mapInArrow(run, "node long, n long, fp1 long, fp2 long, least int, keys array<long>")
+    return docs.mapInArrow(frugal(run), "node long, n long, fp1 long, fp2 long, least int, keys array<long>")
 
 
 def _sets_at(docs: DataFrame, goals: DataFrame, size: int) -> DataFrame:
@@ -196,7 +196,7 @@ def _sets_at(docs: DataFrame, goals: DataFrame, size: int) -> DataFrame:
                 if rows:
                     yield _sent(rows, fields)
 
-    return here.mapInArrow(send, ", ".join([*(f"{c} {k.simpleString()}" for c, k in kinds.items()), "node long", "tokens binary"]))
+    return here.mapInArrow(frugal(send), ", ".join([*(f"{c} {k.simpleString()}" for c, k in kinds.items()), "node long", "tokens binary"]))
 
 
 def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFrame:
@@ -225,7 +225,7 @@ def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> Dat
                 yield _links(found)
 
     sets = _sets_at(docs, members.unionByName(hubs), size)
-    return sets.repartition("target", "salt").sortWithinPartitions("target", "salt", "member").mapInArrow(compare, "a long, b long").distinct()
+    return sets.repartition("target", "salt").sortWithinPartitions("target", "salt", "member").mapInArrow(frugal(compare), "a long, b long").distinct()
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -298,7 +298,7 @@ def _links_by_pivot(docs: DataFrame, pivots: DataFrame, sizes: DataFrame, named:
             yield _links(found)
 
     sets = _sets_at(docs, goals, size)
-    return sets.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(compare, "a long, b long").filter("a <> b").distinct()
+    return sets.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(frugal(compare), "a long, b long").filter("a <> b").distinct()
 
 
 def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:

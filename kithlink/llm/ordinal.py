@@ -17,12 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kithlink.llm.common import byte_batches, utf8_lengths
+from kithlink.llm.common import byte_batches, frugal, utf8_lengths
 
 #: Labelled rows that a fit takes at most, those with the smallest hash of their id.
 MAX_TRAINING_ROWS = 4000
 #: Bytes of text whose features are found at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 #: An Arrow array of texts, and the hashes that matter (None: all), to (text positions, hashes), each pair once.
 Featurizer = Callable[[pa.Array, np.ndarray | None], tuple[np.ndarray, np.ndarray]]
@@ -245,7 +245,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, grade_col: str, featurize: Featur
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes[order].astype(np.int32, casting="unsafe")))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], ["grade", "features"])
 
-    found = sample.mapInArrow(run, "grade int, features array<int>").toArrow()
+    found = sample.mapInArrow(frugal(run), "grade int, features array<int>").toArrow()
     grades = found.column("grade").to_numpy()
     lists = found.column("features").combine_chunks()
     lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
@@ -281,4 +281,4 @@ def _scored(docs: DataFrame, model: OrdinalModel, featurize: Featurizer, grade:
             tails = np.concatenate(out) if out else np.empty((0, len(own.thresholds)))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(own.expected(tails)), pa.array(own.tail_from(tails, grade))], [*(f"c{i}" for i in range(len(carried))), "expected", "tail"])
 
-    return rows.mapInArrow(run, f"{kinds}, expected double, tail double")
+    return rows.mapInArrow(frugal(run), f"{kinds}, expected double, tail double")

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kithlink.llm.common import byte_batches, utf8_lengths
+from kithlink.llm.common import byte_batches, frugal, utf8_lengths
 
 SPACE = "▁"
 #: Distinct chunks one worker remembers before it starts anew (memory bound).
@@ -326,7 +326,7 @@ def decode_pieces(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", i
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pieces.decode(x or []) for x in batch.column(1).to_pylist()], pa.string())], ["id", "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
+    return encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(frugal(run), f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
 def piece_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -353,6 +353,7 @@ def _digested(docs: DataFrame, vocabulary: str, columns: list[tuple], schema: st
             for a, b in byte_batches(utf8_lengths(texts), BATCH_BYTES):
                 rows = pieces.digests(texts.slice(a, b - a))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array([r[k] for r in rows], kind) for _, kind, k in columns)], ["id", *(n for n, _, _ in columns)])
+        pieces.known = {}
 
     return _over(docs, run, schema, id_col, text_col)
 
@@ -360,4 +361,4 @@ def _digested(docs: DataFrame, vocabulary: str, columns: list[tuple], schema: st
 def _over(docs: DataFrame, run, columns: str, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, {columns}").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), f"id {kind}, {columns}").withColumnRenamed("id", id_col)

@@ -23,7 +23,7 @@ from kithlink.operators.neighbours import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 NATIVE = {"use_metaphone": False, "use_nysiis": False}
-TOP = 20
+TOP = 200
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}

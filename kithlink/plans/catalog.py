@@ -20,6 +20,7 @@ from kithlink.operators import blocking, metrics, resolve, tfidf, validate
 from kithlink.operators.features import feature_matrix, with_tfidf
 from kithlink.operators.models import WEIGHTS, BalancedLogistic, Ensemble, combined
 from kithlink.operators.neighbours import nearest
+from kithlink.plans.recursive_sql import jaro_winkler_tables, metaphone_tables, nysiis_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 NATIVE = {"use_metaphone": False, "use_nysiis": False}
@@ -111,6 +112,10 @@ def _forms(profile: str) -> str:
   )"""
 
 
+def _recursive(profile: str) -> str:
+    return _forms(profile).replace("with", "with recursive", 1)
+
+
 TRUTH_SQL = """truth as (
     select 'S1-' || a.doc_id as source1_id, 'S' || (b.doc_id % 3 + 1) || '-' || b.doc_id as candidate_id
     from documents a join documents b on a.text = b.text where a.doc_id % 3 = 0 and b.doc_id % 3 <> 0
@@ -208,7 +213,10 @@ def ph02_soundex_evaluate(spark, sf_dir):
     return _forms_of(spark, sf_dir, "evaluate").select("id", P.soundex(F.col("nn"), "evaluate").alias("soundex"))
 
 
-@query()
+_PHONETIC = f"{metaphone_tables('r', _UPPER)}, {nysiis_tables('r', _UPPER)}"
+
+
+@query(_recursive("main") + f", {_PHONETIC} select id, metaphone, nysiis from r join mph using (nn) join nys using (nn)")
 def ph03_metaphone_nysiis(spark, sf_dir):
     return _forms_of(spark, sf_dir, "main").select("id", P.metaphone("nn").alias("metaphone"), P.nysiis("nn").alias("nysiis"))
 
@@ -225,6 +233,11 @@ def _neighbours(spark, sf_dir, profile):
 _PAIRS = "n as (select p.row as a, p.nn as x, q.nn as y, p.na as u, q.na as v from r p join r q on q.row = p.row + 1)"
 
 
+def _edits(x: str, y: str) -> str:
+    """DuckDB counts bytes: the only letter of several bytes in normal forms becomes a byte of its own."""
+    return f"levenshtein(translate({x}, 'ß', chr(1)), translate({y}, 'ß', chr(1)))"
+
+
 def _set_sql(kind: str, x: str, y: str) -> str:
     common, union = f"len(list_intersect({x}, {y}))", f"len(list_distinct(list_concat({x}, {y})))"
     small, large = f"least(len(list_distinct({x})), len(list_distinct({y})))", f"greatest(len(list_distinct({x})), len(list_distinct({y})))"
@@ -239,21 +252,23 @@ def _set_sql(kind: str, x: str, y: str) -> str:
     _forms("main") + f""", {_PAIRS}, t as (select *, {_tokens("x", 2)} as s, {_tokens("y", 2)} as t from n)
   select a, {_set_sql("jaccard", "s", "t")} as jaccard, {_set_sql("main", "s", "t")} as overlap, {_set_sql("evaluate", "s", "t")} as overlap_evaluate,
     round(least(len(s), len(t)) / greatest(len(s), len(t), 1), 6) as count_ratio,
-    round(case when greatest(length(x), length(y)) = 0 then 1.0 else 1.0 - levenshtein(translate(x, 'ß', 's'), translate(y, 'ß', 's')) / greatest(length(x), length(y)) end, 6) as levenshtein,
+    round(case when greatest(length(x), length(y)) = 0 then 1.0 else 1.0 - {_edits('x', 'y')} / greatest(length(x), length(y)) end, 6) as levenshtein,
     case when x <> '' and y <> '' and string_split(x, ' ')[1] = string_split(y, ' ')[1] then 1.0::double else 0.0::double end as prefix,
     case when x <> '' and y <> '' and string_split(x, ' ')[-1] = string_split(y, ' ')[-1] then 1.0::double else 0.0::double end as suffix from t"""
 )
 def sm01_string_similarities(spark, sf_dir):
     n = _neighbours(spark, sf_dir, "main").withColumn("s", T.tokens(F.col("x"))).withColumn("t", T.tokens(F.col("y")))
     s, t, x, y = (F.col(c) for c in ("s", "t", "x", "y"))
-    plain = lambda c: F.translate(c, "ß", "s")
     return n.select(
         "a", F.round(S.jaccard(s, t), 6).alias("jaccard"), F.round(S.overlap_ratio(s, t), 6).alias("overlap"), F.round(S.overlap_ratio(s, t, "evaluate"), 6).alias("overlap_evaluate"),
-        F.round(S.count_ratio(s, t), 6).alias("count_ratio"), F.round(S.levenshtein_similarity(plain(x), plain(y)), 6).alias("levenshtein"), S.same_word(x, y, 1).alias("prefix"), S.same_word(x, y, -1).alias("suffix"),
+        F.round(S.count_ratio(s, t), 6).alias("count_ratio"), F.round(S.levenshtein_similarity(x, y), 6).alias("levenshtein"), S.same_word(x, y, 1).alias("prefix"), S.same_word(x, y, -1).alias("suffix"),
     )
 
 
-@query()
+@query(
+    _recursive("main") + f", {_PAIRS}, {jaro_winkler_tables('select x, y from n union all select u, v from n', 'jw')}"
+    " select a, round(f.score, 9) as name, round(g.score, 9) as address from n join jw f on f.x = n.x and f.y = n.y join jw g on g.x = n.u and g.y = n.v"
+)
 def sm04_jaro_winkler(spark, sf_dir):
     n = _neighbours(spark, sf_dir, "main")
     return n.select("a", F.round(S.jaro_winkler("x", "y"), 9).alias("name"), F.round(S.jaro_winkler("u", "v"), 9).alias("address"))
@@ -284,22 +299,26 @@ def bk05_evaluate_keys(spark, sf_dir):
 
 
 _CITY = f"array_to_string(list_transform({_words('city')}, lambda t, i: case when i > len({_words('city')}) - 3 then coalesce({_map(SUFFIXES['main'])}[t], t) else t end), ' ')"
-_MAIN_KEYS = f"""{_PARTS}, k0 as (select *, {_tokens("nn", 3, NAME_STOPWORDS)} as n, {_tokens("street", 3, ADDRESS_STOPWORDS)} as s, {_words("nn")} as nw, {_words("na")} as aw, replace(na, ' ', '') as bare,
+_ALL_MAIN_KEYS = f"""{_PARTS}, k0 as (select *, {_tokens("nn", 3, NAME_STOPWORDS)} as n, {_tokens("street", 3, ADDRESS_STOPWORDS)} as s, {_words("nn")} as nw, {_words("na")} as aw, replace(na, ' ', '') as bare,
     translate(city, '{_PUNCTUATION}', '{_BLANKS}') as city_plain, {_SOUNDEX_MAIN} as sdx from parts),
   k1 as (select source, id, row, case when len(n) = 0 then ['_empty_'] else {_one("name_first:", "n[1]", "len(n) >= 1")} || {_one("name_first2:", "n[1] || '_' || n[2]", "len(n) >= 2")} || {_many("name_token:", "list_slice(n, 1, 5)")}
-    || {_many("name_ngram:", "flatten(list_transform(list_slice(n, 1, 3), lambda t: list_slice(list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3)), 1, 5)))")} || ['name_soundex:' || sdx] end
+    || {_many("name_ngram:", "flatten(list_transform(list_slice(n, 1, 3), lambda t: list_slice(list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3)), 1, 5)))")} || ['name_soundex:' || sdx]PHONETIC end
     || {_one("postal_prefix:", "substring(postal, 1, 3)", "postal <> ''")} || {_one("postal_full:", "postal", "postal <> ''")} || {_one("house_num:", "house", "house <> ''")} || {_many("street_token:", "list_slice(s, 1, 3)")}
     || {_one("city:", _CITY.replace("city", "city_plain"), "city <> ''")} || {_many("addr_ngram:", f"list_slice({_grams('bare')}, 1, 10)")}
     || {_one("cross:", "nw[1] || '_' || substring(postal, 1, 3)", "len(nw) > 0 and postal <> ''")} || {_one("cross_first:", "nw[1] || '_' || aw[1]", "len(nw) > 0 and len(aw) > 0")} as keys from k0),
   keyed as (select source, id, row, i - 1 as place, keys[i] as key from k1, unnest(range(1, len(keys) + 1)) as u(i))"""
 
 
+_MAIN_KEYS = _ALL_MAIN_KEYS.replace("PHONETIC", "")
+_PHONETIC_KEYS = f"{_PHONETIC}, " + _ALL_MAIN_KEYS.replace("PHONETIC", " || ['name_metaphone:' || metaphone, 'name_nysiis:' || nysiis]").replace("from parts),", "from parts join mph using (nn) join nys using (nn)),")
+
+
 @query(_forms("main") + f", {_MAIN_KEYS} select id, cast(place as integer) as place, key from keyed")
 def bk04_main_keys(spark, sf_dir):
     return blocking.keyed(records(spark, sf_dir), "main", NATIVE).select("id", "place", "key")
 
 
-@query()
+@query(_recursive("main") + f", {_PHONETIC_KEYS} select id, cast(place as integer) as place, key from keyed")
 def bk01_main_keys_phonetic(spark, sf_dir):
     return blocking.keyed(records(spark, sf_dir), "main").select("id", "place", "key")
 
@@ -316,9 +335,9 @@ def sl01_top_candidates(spark, sf_dir):
     return blocking.block(records(spark, sf_dir), "evaluate", TOP)
 
 
-@query(_forms("main") + f", {_MAIN_KEYS}, {_COUNTS}, {_TOP} select * from top")
+@query(_recursive("main") + f", {_PHONETIC_KEYS}, {_COUNTS}, {_TOP} select * from top")
 def jn01_top_candidates_main(spark, sf_dir):
-    return blocking.block(records(spark, sf_dir), "main", TOP, NATIVE)
+    return blocking.block(records(spark, sf_dir), "main", TOP)
 
 
 @query(_forms("evaluate") + f", {_EVALUATE_KEYS}, {_COUNTS} select source, cast(count(*) as bigint) as pairs, cast(sum(shared) as bigint) as shared, cast(max(shared) as bigint) as most from counts group by source")

@@ -538,7 +538,7 @@ def ag12_tfidf_vocabulary_chars(spark, sf_dir):
 
 def _matrix(spark, sf_dir, profile):
     rows = records(spark, sf_dir)
-    pairs = sl01_top_candidates(spark, sf_dir).select("source1_id", "candidate_id", "source")
+    pairs = (sl01_top_candidates if profile == "evaluate" else jn01_top_candidates_main)(spark, sf_dir).select("source1_id", "candidate_id", "source")
     return feature_matrix(pairs, with_tfidf(rows, profile), profile)
 
 
@@ -546,32 +546,116 @@ def _rounded(matrix, names):
     return matrix.select("source1_id", "candidate_id", *(F.round(n, 6).alias(n) for n in names))
 
 
-_FEATURES = {
-    "name_exact": "(x.nn = y.nn)::int::double", "name_jaccard": _set_sql("jaccard", "x.nt", "y.nt"), "name_overlap_ratio": _set_sql("evaluate", "x.nt", "y.nt"), "name_common_cnt": "len(list_intersect(x.nt, y.nt))::double",
-    "name_soundex": "(x.sdx = y.sdx)::int::double", "addr_exact": "(x.na = y.na)::int::double", "addr_house_num": "(x.house <> '' and x.house = y.house)::int::double", "addr_postal_match": "(x.postal <> '' and x.postal = y.postal)::int::double",
-    "addr_postal_prefix": "(length(x.postal) >= 3 and length(y.postal) >= 3 and x.postal[1:3] = y.postal[1:3])::int::double", "addr_tok_jaccard": _set_sql("jaccard", "x.at", "y.at"), "addr_state_match": "(x.na <> '' and x.na = y.na)::int::double",
-    "cross_name1_addr2": _set_sql("jaccard", "x.nt", "y.at"), "cross_name2_addr1": _set_sql("jaccard", "y.nt", "x.at"),
-}
+def _cosines(field: str, terms_: str, limit: int, max_df: float = 1.0) -> str:
+    """{field}_cos (source1_id, candidate_id, cosine) of the pairs in top that share a term."""
+    f = field
+    return f"""{f}_terms as (select id, term, count(*) as tf from (select id, unnest({terms_}) as term from r) group by all),
+  {f}_vocab as (select term, ln((1 + (select count(*) from r)) / (1 + count(*))) + 1 as idf from {f}_terms group by term having count(*) >= 2 and count(*) <= {max_df} * (select count(*) from r) order by sum(tf) desc, term limit {limit}),
+  {f}_w as (select id, term, (1 + ln(tf)) * idf as w from {f}_terms join {f}_vocab using (term)), {f}_norm as (select id, sqrt(sum(w * w)) as n from {f}_w group by id),
+  {f}_vec as (select id, term, w / n as w from {f}_w join {f}_norm using (id)),
+  {f}_cos as (select source1_id, candidate_id, sum(a.w * b.w) as cosine from top join {f}_vec a on a.id = source1_id join {f}_vec b on b.id = candidate_id and b.term = a.term group by all)"""
 
 
-@query(
-    _forms("evaluate") + f""", {_EVALUATE_KEYS}, {_COUNTS}, {_TOP}, parts as (select id, nn, na, {_tokens("nn", 3)} as nt, {_tokens("na", 3)} as at, {_SOUNDEX_EVALUATE} as sdx, regexp_extract(na, '\\b(\\d+[A-Za-z]?)\\b', 1) as house, {_POSTAL_EVALUATE.format(x="na")} as postal from r)
-  select source1_id, candidate_id, {", ".join(f"{v} as {k}" for k, v in _FEATURES.items())} from top join parts x on x.id = source1_id join parts y on y.id = candidate_id"""
-)
+def _flag(condition: str) -> str:
+    return f"coalesce({condition}, false)::int::double"
+
+
+def _same_word(n: int) -> str:
+    return _flag(f"x.nn <> '' and y.nn <> '' and string_split(x.nn, ' ')[{n}] = string_split(y.nn, ' ')[{n}]")
+
+
+def _sizes(column: str, of: str) -> tuple[str, str]:
+    return tuple(f"len({'list_distinct' if of == 'evaluate' else ''}({side}.{column}))" for side in "xy")
+
+
+def _unique(column: str) -> str:
+    x, y = _sizes(column, "evaluate")
+    return f"({x} + {y} - 2 * len(list_intersect(x.{column}, y.{column})))::double"
+
+
+def _edit_similarity(column: str) -> str:
+    longest = f"greatest(length(x.{column}), length(y.{column}))"
+    return f"round(case when {longest} = 0 then 1.0 else 1.0 - {_edits(f'x.{column}', f'y.{column}')} / {longest} end, 6)"
+
+
+_ABBREVIATED = _flag("len(x.w) = len(y.w) and len(list_filter(x.w, lambda s, i: not (s = y.w[i] or (length(s) = 1 and starts_with(y.w[i], s)) or (length(y.w[i]) = 1 and starts_with(s, y.w[i]))))) = 0")
+_PREFIX3 = _flag("length(x.postal) >= 3 and length(y.postal) >= 3 and x.postal[1:3] = y.postal[1:3]")
+
+
+def _ratio_sql(column: str, of: str) -> str:
+    x, y = _sizes(column, of)
+    return f"round(least({x}, {y}) / greatest({x}, {y}, 1), 6)"
+
+
+def _sets(kind: str, column: str, other: str | None = None) -> str:
+    return _set_sql(kind, f"x.{column}", f"y.{other or column}")
+
+
+def _present(column: str) -> str:
+    return _flag(f"x.{column} <> '' and x.{column} = y.{column}")
+
+
+_CROSS = [_sets("jaccard", "nt", "at"), _set_sql("jaccard", "y.nt", "x.at"), _sets("jaccard", "nt"), _sets("jaccard", "at"), "round(1.0 - abs(jn.score - ja.score), 6)"]
+_FEATURES = {
+    "name_exact": _flag("x.nn = y.nn"), "name_prefix": _same_word(1), "name_suffix": _same_word(-1), "name_jaccard": _sets("jaccard", "nt"), "name_overlap_ratio": _sets("evaluate", "nt"), "name_cnt_ratio": _ratio_sql("nt", "evaluate"),
+    "name_common_cnt": "len(list_intersect(x.nt, y.nt))::double", "name_unique_cnt": _unique("nt"), "name_abbr": _ABBREVIATED, "name_soundex": _flag("x.sdx = y.sdx"), "name_jaro_winkler": "round(jn.score, 6)", "name_levenshtein": _edit_similarity("nn"),
+    "name_tfidf_cosine": "round(coalesce(nc.cosine, 0.0), 6)", "addr_exact": _flag("x.na = y.na"), "addr_house_num": _present("house"), "addr_street_jaccard": _sets("jaccard", "at"), "addr_street_overlap": _sets("evaluate", "at"),
+    "addr_city_match": "0.0::double", "addr_state_match": _present("na"), "addr_postal_match": _present("postal"), "addr_postal_prefix": _PREFIX3, "addr_tok_jaccard": _sets("jaccard", "at"), "addr_tok_overlap": _sets("evaluate", "at"),
+    "addr_jaro_winkler": "round(ja.score, 6)", "addr_levenshtein": _edit_similarity("na"), "addr_tfidf_cosine": "round(coalesce(ac.cosine, 0.0), 6)",
+} | dict(zip(["cross_name1_addr2", "cross_name2_addr1", "cross_name_name", "cross_addr_addr", "cross_consistency"], _CROSS))
+#: Features that need neither vectors nor Python.
+_PLAIN_FEATURES = [k for k, v in _FEATURES.items() if "score" not in v and "cosine" not in v]
+
+
+def _where(columns: dict[str, str], guard: str) -> dict[str, str]:
+    return {k: f"case when x.{guard} <> '' and y.{guard} <> '' then {v} else 0.0 end" for k, v in columns.items()}
+
+
+_TOKENS_THERE = "len(x.nt) > 0 and len(y.nt) > 0"
+_MAIN_FEATURES = _where({
+    "name_exact_match": _flag("x.nn = y.nn"), "name_prefix_match": f"case when {_TOKENS_THERE} then {_same_word(1)} else 0.0 end", "name_suffix_match": f"case when {_TOKENS_THERE} then {_same_word(-1)} else 0.0 end",
+    "name_token_jaccard": _sets("jaccard", "nt"), "name_token_overlap_ratio": _sets("main", "nt"), "name_token_count_ratio": _ratio_sql("nt", "main"), "name_common_token_count": "len(list_intersect(x.nt, y.nt))::double",
+    "name_unique_token_count": _unique("nt"), "name_abbreviation_match": _ABBREVIATED, "name_soundex_match": _flag("x.sdx = y.sdx"), "name_metaphone_match": _flag("x.metaphone = y.metaphone"), "name_nysiis_match": _flag("x.nysiis = y.nysiis"),
+    "name_jaro_winkler": "round(jn.score, 6)", "name_levenshtein_norm": _edit_similarity("nn"), "name_tfidf_cosine": "round(coalesce(nc.cosine, 0.0), 6)",
+}, "nn") | _where({
+    "addr_exact_match": _flag("x.na = y.na"), "addr_house_num_match": _present("house"), "addr_street_jaccard": _sets("jaccard", "st"), "addr_street_overlap": _sets("main", "st"), "addr_city_match": _present("city"), "addr_state_match": "0.0::double",
+    "addr_postal_match": _present("postal"), "addr_postal_prefix_match": _PREFIX3, "addr_token_jaccard": _sets("jaccard", "at"), "addr_token_overlap": _sets("main", "at"), "addr_landmark_overlap": _sets("jaccard", "marks"),
+    "addr_jaro_winkler": "round(ja.score, 6)", "addr_levenshtein_norm": _edit_similarity("na"), "addr_tfidf_cosine": "round(coalesce(ac.cosine, 0.0), 6)",
+}, "na") | dict(zip(["cross_name1_addr2_overlap", "cross_name2_addr1_overlap", "cross_name_name_overlap", "cross_addr_addr_overlap", "cross_name_addr_consistency"], _CROSS))
+
+_EVALUATE_PARTS = f"""{_EVALUATE_KEYS}, {_COUNTS}, {_TOP}, of as (select id, nn, na, {_tokens("nn", 3)} as nt, {_tokens("na", 3)} as at, {_words("nn")} as w, {_SOUNDEX_EVALUATE} as sdx,
+    regexp_extract(na, '\\b(\\d+[A-Za-z]?)\\b', 1) as house, {_POSTAL_EVALUATE.format(x="na")} as postal from r)"""
+_MAIN_PARTS = f"""{_PHONETIC_KEYS}, {_COUNTS}, {_TOP}, of as (select id, nn, na, {_tokens("nn", 2)} as nt, {_tokens("na", 2)} as at, {_words("nn")} as w, {_SOUNDEX_MAIN} as sdx, metaphone, nysiis, {_tokens("street", 2)} as st,
+    list_filter({_tokens("na", 2)}, lambda t: not list_contains({_lit(COMMON_ADDRESS_TOKENS)}, t)) as marks, house, lower(city) as city, postal from parts join mph using (nn) join nys using (nn))"""
+
+
+def _matrix_sql(profile: str) -> str:
+    """Every feature of every candidate pair."""
+    parts, columns = (_EVALUATE_PARTS, _FEATURES) if profile == "evaluate" else (_MAIN_PARTS, _MAIN_FEATURES)
+    names, addresses = (tfidf.SETTINGS[profile, field] for field in ("name", "address"))
+    pairs = "from top join of x on x.id = source1_id join of y on y.id = candidate_id"
+    codes = ", ".join(jaro_winkler_tables(f"select x.{c} as x, y.{c} as y {pairs}", f"jw_{c}") for c in ("nn", "na"))
+    cosines = f'{_cosines("nn", _CHARS, names.max_features, names.max_df)}, {_cosines("na", _word_terms("na"), addresses.max_features, addresses.max_df)}'
+    return f"""{_recursive(profile)}, {parts}, {codes}, {cosines} select top.source1_id, top.candidate_id, {", ".join(f"{v} as {k}" for k, v in columns.items())} {pairs}
+  join jw_nn jn on jn.x = x.nn and jn.y = y.nn join jw_na ja on ja.x = x.na and ja.y = y.na left join nn_cos nc on nc.source1_id = top.source1_id and nc.candidate_id = top.candidate_id
+  left join na_cos ac on ac.source1_id = top.source1_id and ac.candidate_id = top.candidate_id"""
+
+
+@query(_forms("evaluate") + f""", {_EVALUATE_PARTS} select source1_id, candidate_id, {", ".join(f"{_FEATURES[k]} as {k}" for k in _PLAIN_FEATURES)} from top join of x on x.id = source1_id join of y on y.id = candidate_id""")
 def fe05_features_in_sql(spark, sf_dir):
     rows = records(spark, sf_dir)
     pairs = sl01_top_candidates(spark, sf_dir).select("source1_id", "candidate_id", "source")
-    return _rounded(feature_matrix(pairs, rows, "evaluate"), list(_FEATURES))
+    return _rounded(feature_matrix(pairs, rows, "evaluate"), _PLAIN_FEATURES)
 
 
-@query()
+@query(_matrix_sql("evaluate"))
 def fe05_features_evaluate(spark, sf_dir):
-    return _matrix(spark, sf_dir, "evaluate")
+    return _rounded(_matrix(spark, sf_dir, "evaluate"), list(_FEATURES))
 
 
-@query()
+@query(_matrix_sql("main"))
 def fe04_features_main(spark, sf_dir):
-    return _matrix(spark, sf_dir, "main")
+    return _rounded(_matrix(spark, sf_dir, "main"), list(_MAIN_FEATURES))
 
 
 @query("select 'quality' as feature, round(avg(quality), 6) as mean, round(case when stddev_pop(quality) > 0 then stddev_pop(quality) else 1 end, 6) as std from labels union all select 'toxic', round(avg(toxic), 6), round(case when stddev_pop(toxic) > 0 then stddev_pop(toxic) else 1 end, 6) from labels")

@@ -6,11 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kithlink.functions.similarity import dot
+from kithlink.session import checkpointed
 
 #: Query vectors sent to every task at once.
 BLOCK = 4096
@@ -26,19 +28,24 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     """(source1_id, candidate_id, source, similarity, rank): the k candidates of the highest cosine for each query, exactly.
 
     queries: (id, vector); candidates: (source, id, vector); vectors of one dimension, null ones take no part. Queries go
-    out in blocks of BLOCK; each task keeps its k best of each query, so k rows a query and task are shuffled.
+    out in blocks of BLOCK; each task keeps its k best of each query, so k rows a query and task are shuffled. Of several blocks
+    each one's result is checkpointed before the next one's queries are read, so the driver holds one block at a time.
     """
     asked = unit(queries.select("id", "vector").filter("vector is not null"))
     others = unit(candidates.select("source", "id", "vector").filter("vector is not null"))
     blocks = max(1, -(-asked.count() // BLOCK))
-    parts = [_nearest(asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b), others, k) for b in range(blocks)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = None
+    for b in range(blocks):
+        part, sent = _nearest(asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b), others, k)
+        if blocks > 1:
+            part = checkpointed(part)
+            sent.destroy()
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-def _nearest(asked: DataFrame, others: DataFrame, k: int) -> DataFrame:
+def _nearest(asked: DataFrame, others: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
+    """The result of one block, and the broadcast that it reads."""
     rows = asked.collect()
     ids = [r["id"] for r in rows]
     matrix = others.sparkSession.sparkContext.broadcast(np.array([r["vector"] for r in rows], np.float64).reshape(len(rows), -1))
@@ -63,7 +70,7 @@ def _nearest(asked: DataFrame, others: DataFrame, k: int) -> DataFrame:
 
     order = Window.partitionBy("source1_id").orderBy(F.desc("similarity"), "source", "candidate_id")
     scored = others.mapInArrow(run, "source1_id string, candidate_id string, source string, similarity double")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k), matrix
 
 
 def nearest_approximate(queries: DataFrame, candidates: DataFrame, k: int, bucket_length: float = 0.5, tables: int = 8) -> DataFrame:

@@ -719,6 +719,122 @@ def ag14_counters(spark, sf_dir):
     return validate.counters(jn09_matches(spark, sf_dir))
 
 
+# -- single operators ------------------------------------------------------------------------------
+
+
+@query(_forms("main") + f" select id, array_to_string(list_transform({_words('nn')}, lambda t: coalesce({_map(ADDRESS['main'])}[t], t)), ' ') as expanded from r")
+def st09_dictionary_replace(spark, sf_dir):
+    return _forms_of(spark, sf_dir, "main").select("id", T.expand_abbreviations(F.col("nn"), ADDRESS["main"]).alias("expanded"))
+
+
+@query(
+    "with v as (select vec_id, list_transform(embedding, lambda x: case when vec_id % 7 = 0 then 0.0 else x end::double) as e from embeddings)"
+    " select a.vec_id, round(case when a.vec_id % 7 = 0 or b.vec_id % 7 = 0 then 0.0 else list_cosine_similarity(a.e, b.e) end, 6) as cosine from v a join v b on b.vec_id = a.vec_id + 1"
+)
+def sm08_dense_cosine(spark, sf_dir):
+    """Neighbouring vectors; every seventh is made zero."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    e = e.select("vec_id", F.when(F.col("vec_id") % 7 == 0, F.transform("embedding", lambda x: x * 0)).otherwise(F.col("embedding")).alias("x"))
+    return e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("x").alias("y")), "vec_id").select("vec_id", F.round(S.cosine(F.col("x"), F.col("y")), 6).alias("cosine"))
+
+
+@query("select c_custkey, round(1 / (1 + exp(-c_acctbal / 1000)), 6) as sigmoid, case when c_custkey % 4 = 0 then round(c_acctbal::double, 6) else 0.0 end as scrubbed from customer")
+def sm13_sigmoid_and_scrub(spark, sf_dir):
+    """Three of four values become null, NaN or infinite before they are scrubbed."""
+    c, k = spark.read.parquet(f"{sf_dir}/customer.parquet"), F.col("c_custkey") % 4
+    broken = F.when(k == 1, F.lit(float("nan"))).when(k == 2, F.lit(float("-inf"))).when(k == 0, F.col("c_acctbal").cast("double"))
+    return c.select("c_custkey", F.round(S.sigmoid(F.col("c_acctbal") / 1000), 6).alias("sigmoid"), F.round(S.scrub(broken), 6).alias("scrubbed"))
+
+
+_OFF = {"use_name_ngrams": "name_ngram", "use_address_ngrams": "addr_ngram", "use_soundex": "name_soundex", "use_metaphone": "name_metaphone", "use_nysiis": "name_nysiis", "use_house_number": "house_num", "use_cross": "cross", "use_first_token": "name_first", "use_city": "city"}
+
+
+@query(_forms("main") + f", {_MAIN_KEYS} select id, key, count(*) as n from keyed where not list_contains({_lit([*_OFF.values(), 'cross_first'])}, string_split(key, ':')[1]) group by all")
+def bk06_gates(spark, sf_dir):
+    """Keys with nine families switched off."""
+    return blocking.keyed(records(spark, sf_dir), "main", dict.fromkeys(_OFF, False)).groupBy("id", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    _forms("evaluate") + f""", {_EVALUATE_KEYS}, {_COUNTS}, {_TOP}, {_NEAR}, both_ as (select source1_id, source, candidate_id, shared, null::double as similarity from top union all select k.source1_id, k.source, k.candidate_id, 0, round(near.exact, 12) from knn k join near using (source1_id, candidate_id) where k.rank <= 10),
+  merged as (select source1_id, source, candidate_id, max(shared) as shared, max(similarity) as similarity from both_ group by all)
+  select source1_id, source, candidate_id, shared, round(similarity, 6) as similarity, cast(rank as integer) as rank
+  from (select *, row_number() over (partition by source1_id order by shared desc, similarity desc nulls last, source, candidate_id) as rank from merged) where rank <= 100"""
+)
+def jn04_hybrid_candidates(spark, sf_dir):
+    """Candidates by keys and by vectors of the same numbers, the best 100 of both."""
+    both = blocking.hybrid_candidates(sl01_top_candidates(spark, sf_dir), nearest(*(_vectors(spark, sf_dir).filter(f"source {op} 'source1'") for op in ("=", "<>")), 10), 100)
+    return both.select("source1_id", "source", "candidate_id", "shared", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+def _finding_sql(severity: str, rule: str, offenders: str) -> str:
+    return f"select '{severity}' as severity, '{rule}' as rule, count(*) as n, array_to_string(list_slice(list_sort(list(x)), 1, 5), ' ') as examples from (select distinct {offenders}) having count(*) > 0"
+
+
+def _shown(found: DataFrame) -> DataFrame:
+    return found.select("severity", "rule", "n", F.array_join("examples", " ").alias("examples"))
+
+
+@query(
+    f"{_BLOCKED}, {_SCORED}, known as (select id from r where source = 'source2'), said as (select candidate_id as x from scored where prob >= 0.5 and cast(substring(source1_id, 4) as bigint) % 10 not in (1, 2, 3) union all select 'S2-1' from r where source = 'source1' and row % 10 = 2) "
+    + _finding_sql("error", "unknown id", "x from said where x not in (select id from known)")
+)
+def jn14_unknown_ids(spark, sf_dir):
+    """Matches that aren't among the records of source2."""
+    valid, required = records(spark, sf_dir).filter("source = 'source2'").select("id"), _entities(spark, sf_dir).withColumnRenamed("source1_id", "id")
+    return _shown(validate.id_list_findings(validate.parsed_lines(_result_lines(spark, sf_dir)), required, valid).filter("rule = 'unknown id'"))
+
+
+@query(f"{_BLOCKED}, {_SCORED} " + _finding_sql("warning", "match not among candidates", "source1_id as x from scored where prob >= 0.3 and prob < 0.5"))
+def jn15_match_not_among_candidates(spark, sf_dir):
+    """Matches from 0.3 on against those from 0.5 on."""
+    lists = [resolve.matches(_scored(spark, sf_dir), tau, _entities(spark, sf_dir)).withColumnRenamed("matched", "ids") for tau in (0.3, 0.5)]
+    return _shown(validate.not_among_candidates(*lists))
+
+
+@query(f"{_BLOCKED}, {_SCORED} select r.id as source1_id, count(s.candidate_id) = 0 as alone from r left join scored s on s.source1_id = r.id and prob >= 0.5 where r.source = 'source1' group by r.id")
+def pf03_singletons(spark, sf_dir):
+    lists = jn09_matches(spark, sf_dir)
+    return resolve.singletons(lists).select("source1_id", F.lit(True).alias("alone")).unionByName(resolve.non_singletons(lists).select("source1_id", F.lit(False).alias("alone")))
+
+
+@query(f"with {TRUTH_SQL} select source1_id, array_to_string(list_sort(list(distinct candidate_id)), '|') as ids, count(distinct candidate_id) as n from truth group by source1_id")
+def io09_parse_ids(spark, sf_dir):
+    """Lists with blanks and empty parts put in."""
+    untidy = io10_format_ids(spark, sf_dir).select("source1_id", F.concat(F.lit(" , "), F.replace("matched_ids", F.lit(","), F.lit(" ,, ")), F.lit(",")).alias("text"))
+    ids = resolve.parse_ids(F.col("text"))
+    return untidy.select("source1_id", F.array_join(ids, "|").alias("ids"), F.size(ids).cast("long").alias("n"))
+
+
+@query(f"with {RECORDS_SQL} select source, id, name from recs")
+def so03_union_sources(spark, sf_dir):
+    rows = records(spark, sf_dir)
+    return blocking.union_sources(*(rows.filter(f"source = 'source{i}'").drop("source") for i in (1, 2, 3))).select("source", "id", "name")
+
+
+@query(
+    f"with {TRUTH_SQL}, l as (select count(distinct source1_id) as others from truth), a as (select count(*) filter (doc_id % 3 = 0) - (select others from l) as alone from documents)"
+    " select least(alone, 6) as alone, least(others, 94) as others from a, l"
+)
+def sl09_stratified_sample(spark, sf_dir):
+    """How many entities of either kind a sample of 100 has; which ones is by hash."""
+    lists = _entities(spark, sf_dir).join(io10_format_ids(spark, sf_dir), "source1_id", "left").na.fill("")
+    picked = resolve.stratified_sample(lists, 100)
+    return picked.agg(F.count_if(F.col("matched_ids") == "").alias("alone"), F.count_if(F.col("matched_ids") != "").alias("others"))
+
+
+@query(
+    f"with {TRUTH_SQL}, t as (select distinct candidate_id from truth), k as (select count(*) as n from t), o as (select count(*) - (select n from k) as n from documents where doc_id % 3 <> 0)"
+    " select k.n as true_records, least(o.n, greatest(2 * k.n, 50)) as decoys from k, o"
+)
+def sl10_decoy_sample(spark, sf_dir):
+    """How many true records and decoys a sample of two decoys a true record has."""
+    rows, wanted = records(spark, sf_dir).filter("source <> 'source1'"), truth(spark, sf_dir)
+    picked = resolve.decoy_sample(rows, wanted, per_true=2, least=50)
+    known = picked.join(wanted.select(F.col("candidate_id").alias("id"), F.lit(True).alias("known")).distinct(), "id", "left")
+    return known.agg(F.count("known").alias("true_records"), F.count_if(F.col("known").isNull()).alias("decoys"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

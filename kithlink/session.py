@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -33,3 +34,14 @@ def ship(spark: SparkSession) -> SparkSession:
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
     return spark
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, kept in the folder of spark.checkpoint.dir; a temporary one stands in only where that is unset and all runs on this machine."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not root and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="kithlink-"))
+    return df.checkpoint()

@@ -14,7 +14,10 @@ RECORD_COLUMNS, TRUTH_COLUMNS = ["id", "name", "address"], ["source1_id", "match
 
 
 def read_tsv(spark: SparkSession, path: str, **options) -> DataFrame:
-    """All columns as strings, doubled quotes inside quotes, empty fields as ''. Options override the reader's."""
+    """All columns as strings, doubled quotes inside quotes, empty fields as ''. Options override the reader's.
+
+    Quoted fields may hold line ends, so a file is one task; with multiLine=False, for files without such fields, large files are split.
+    """
     chosen = {"sep": "\t", "header": True, "inferSchema": False, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST"} | options
     return spark.read.options(**chosen).csv(path).na.fill("")
 
@@ -51,13 +54,13 @@ def _renamed(df: DataFrame, aliases: dict[str, str], columns: list[str]) -> Data
     return df.select(*columns)
 
 
-def read_source(spark: SparkSession, path: str) -> DataFrame:
+def read_source(spark: SparkSession, path: str, **options) -> DataFrame:
     """id, name, address, under either set of names; others are dropped, a missing one is an error."""
-    return _renamed(read_tsv(spark, path), RECORD_ALIASES, RECORD_COLUMNS)
+    return _renamed(read_tsv(spark, path, **options), RECORD_ALIASES, RECORD_COLUMNS)
 
 
-def read_truth(spark: SparkSession, path: str) -> DataFrame:
-    return _renamed(read_tsv(spark, path), TRUTH_ALIASES, TRUTH_COLUMNS)
+def read_truth(spark: SparkSession, path: str, **options) -> DataFrame:
+    return _renamed(read_tsv(spark, path, **options), TRUTH_ALIASES, TRUTH_COLUMNS)
 
 
 def numbered(records: DataFrame) -> DataFrame:
@@ -92,21 +95,21 @@ def find(spark: SparkSession, folder: str, names: list[str]) -> str | None:
     return next((f"{folder}/{n}" for n in names if exists(spark, f"{folder}/{n}")), None)
 
 
-def load_sources(spark: SparkSession, folder: str, split: str = "train", order: str = "main") -> dict[str, DataFrame]:
-    """source1..3, and ground_truth for the train split, as far as they are there; main skips missing files, evaluate raises."""
+def load_sources(spark: SparkSession, folder: str, split: str = "train", order: str = "main", **options) -> dict[str, DataFrame]:
+    """source1..3, and ground_truth for the train split, as far as they are there; main skips missing files, evaluate raises. Options are the reader's."""
     found: dict[str, DataFrame] = {}
     for i in (1, 2, 3):
         names = [f"source{i}_{split}.tsv", f"{split}_source{i}.tsv"]
         path = find(spark, folder, names if order == "main" else names[::-1])
         if path:
-            found[f"source{i}"] = numbered(read_source(spark, path))
+            found[f"source{i}"] = numbered(read_source(spark, path, **options))
         elif order == "evaluate":
             raise FileNotFoundError(f"no file for source{i} in {folder}")
     if split == "train":
         names = [f"ground_truth_{split}.tsv", f"{split}_ground_truth.tsv"]
         path = find(spark, folder, names if order == "main" else names[::-1])
         if path:
-            found["ground_truth"] = read_truth(spark, path)
+            found["ground_truth"] = read_truth(spark, path, **options)
         elif order == "evaluate":
             raise FileNotFoundError(f"no truth in {folder}")
     return found

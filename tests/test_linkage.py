@@ -1,12 +1,14 @@
 """Blocking, metrics, models, files, validators, and the whole."""
 
+import bisect
+import itertools
 import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from kithlink.operators import blocking, metrics, resolve, tfidf, validate
+from kithlink.operators import blocking, metrics, neighbours, resolve, tfidf, validate
 from kithlink.operators.features import feature_matrix, feature_names
 from kithlink.operators.models import BalancedLogistic, BoostedTrees, CrossEncoder, Ensemble
 from kithlink.operators.neighbours import nearest, nearest_approximate
@@ -239,3 +241,31 @@ def test_stream(spark, tmp_path):
     pairs = {(r["source1_id"], r["candidate_id"], r["shared"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     want = blocking.block(spark.createDataFrame(rows, RECORD), "evaluate", 5)
     assert {(r["source1_id"], r["shared"]) for r in want.collect()} == {(p[0], p[2]) for p in pairs}
+
+
+def test_nearest_in_several_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    vector = lambda: [rng.gauss(0, 1) for _ in range(6)]
+    asked = spark.createDataFrame([(f"S1-{i}", vector()) for i in range(23)], "id string, vector array<double>")
+    others = spark.createDataFrame([("source2", f"S2-{i}", vector()) for i in range(60)], "source string, id string, vector array<double>")
+    rows = lambda: sorted((r.source1_id, r["rank"], r.candidate_id) for r in neighbours.nearest(asked, others, 4).collect())
+    whole = rows()
+    monkeypatch.setattr(neighbours, "BLOCK", 5)
+    assert rows() == whole and len(whole) == 23 * 4
+
+
+@pytest.mark.parametrize("distinct", [1, 7, 3000])
+def test_ranking_metrics_equal_their_definitions(spark, distinct):
+    rng = random.Random(distinct)
+    rows = [(rng.randrange(distinct) / distinct, int(rng.random() < 0.3)) for _ in range(3000)]
+    scored = spark.createDataFrame(rows, "prob double, label int")
+    order = sorted(rows)
+    pos, sorted_neg = [s for s, y in rows if y], sorted(s for s, y in rows if not y)
+    won = sum((bisect.bisect_left(sorted_neg, s) + bisect.bisect_right(sorted_neg, s)) / 2 for s in pos)
+    assert metrics.roc_auc(scored).first()[0] == pytest.approx(won / len(pos) / len(sorted_neg))
+    want, seen, tp = 0.0, 0, 0
+    for _, group in itertools.groupby(reversed(order), key=lambda r: r[0]):
+        labels = [y for _, y in group]
+        seen, tp = seen + len(labels), tp + sum(labels)
+        want += sum(labels) * tp / seen
+    assert metrics.average_precision(scored).first()[0] == pytest.approx(want / len(pos))

@@ -7,6 +7,8 @@ pair work. Repeated keys multiply on both sides, as bags do.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -152,7 +154,12 @@ def candidate_counts(keys: DataFrame, max_block_size: int | None = None) -> Data
     if max_block_size is not None:
         few = right.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") <= max_block_size).select("key")
         right = right.join(few, "key", "left_semi")
-    return left.join(right, "key").groupBy("source1_id", "source", "candidate_id").agg(F.sum(F.col("n1") * F.col("n2")).alias("shared"), F.min(F.struct("at", "source", "row")).alias("met"))
+    # place and row in one number: the least of numbers is found by hashing, the least of structs by sorting all that meet
+    base, shift = F.lit(Decimal(1 << 65)), F.lit(Decimal(1 << 63))
+    first = F.col("at").cast("decimal(10,0)") * base + (F.col("row").cast("decimal(20,0)") + shift)
+    counts = left.join(right, "key").groupBy("source1_id", "source", "candidate_id").agg(F.sum(F.col("n1") * F.col("n2")).alias("shared"), F.min(first).alias("first"))
+    at = F.floor(F.col("first") / base)
+    return counts.select("source1_id", "source", "candidate_id", "shared", F.struct(at.alias("at"), "source", (F.col("first") - at * base).alias("row")).alias("met"))
 
 
 def top_candidates(counts: DataFrame, k: int = MAX_CANDIDATES) -> DataFrame:

@@ -17,9 +17,9 @@ from kithlink.functions import address as A
 from kithlink.functions import phonetic as P
 from kithlink.functions import text as T
 from kithlink.functions.dictionaries import ADDRESS_STOPWORDS, NAME_STOPWORDS
+from kithlink.operators.postings import REFERENCE
 
 MAX_CANDIDATES = 200
-REFERENCE = "source1"
 
 #: Families of keys that can be switched off, with the parameters of the main profile.
 DEFAULTS = {
@@ -126,8 +126,8 @@ def evaluate_keys(nn: Column, na: Column) -> Column:
     return T.let(found, of)
 
 
-def keyed(records: DataFrame, profile: str = "main", config: dict | None = None) -> DataFrame:
-    """A row for each key of each record (source, id, row, place, key); repeated keys stay."""
+def key_lists(records: DataFrame, profile: str = "main", config: dict | None = None) -> DataFrame:
+    """The keys of each record (source, id, row, keys) in their order; repeated keys stay."""
     forms = with_normal_forms(records, profile)
     if profile == "main":
         c = DEFAULTS | (config or {})
@@ -139,7 +139,12 @@ def keyed(records: DataFrame, profile: str = "main", config: dict | None = None)
         keys = F.concat(*parts, *([cross_keys(F.col("nn"), F.col("na"), config)] if c["use_cross"] else []))
     else:
         keys = evaluate_keys(F.col("nn"), F.col("na"))
-    return forms.select("source", "id", "row", F.posexplode(keys).alias("place", "key"))
+    return forms.select("source", "id", "row", keys.alias("keys"))
+
+
+def keyed(records: DataFrame, profile: str = "main", config: dict | None = None) -> DataFrame:
+    """A row for each key of each record (source, id, row, place, key); repeated keys stay."""
+    return key_lists(records, profile, config).select("source", "id", "row", F.posexplode("keys").alias("place", "key"))
 
 
 def candidate_counts(keys: DataFrame, max_block_size: int | None = None) -> DataFrame:

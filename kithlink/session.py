@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,3 +46,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(root or tempfile.mkdtemp(prefix="kithlink-"))
     return df.checkpoint()
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet in the folder of spark.checkpoint.dir, where tasks can open its files."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{(root or 'file://' + tempfile.mkdtemp(prefix='kithlink-')).rstrip('/')}/kithlink/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def opened(uri: str):
+    """The store of a file and its path there, for pyarrow."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])

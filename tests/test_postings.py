@@ -32,7 +32,8 @@ def test_candidates_equal_those_of_joined_pairs(spark, repeated):
 
 
 def test_no_pairs_cross_a_shuffle(spark):
-    assert "Join" not in catalog.jn02_candidate_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    for df in (catalog.sl01_top_candidates(spark, "/root/testdata/sf0.001"), catalog.jn02_candidate_counts(spark, "/root/testdata/sf0.001")):
+        assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
 @pytest.mark.parametrize("k", [1, 4, 30])

@@ -56,3 +56,15 @@ def test_blocks_of_candidates_give_one_order(tmp_path, monkeypatch, k):
         monkeypatch.setattr(postings, "BLOCK", size)
         for work in (postings._best, postings._best_of_repeated):
             assert [tuple(row.values()) for batch in work(references, [f"file://{tmp_path}/part-00000.parquet"], k) for row in batch.to_pylist()] == expected
+
+
+@pytest.mark.parametrize("name", ["jn07_labels", "ag05_blocking_recall", "ag10_class_balance"])
+def test_candidates_meet_the_truth_without_a_shuffle(spark, name):
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan and plan.count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("name", ["ag07_roc_auc", "ag08_average_precision", "sl12_threshold_grid", "sl13_best_threshold", "jn14_unknown_ids", "jn15_match_not_among_candidates", "pf03_singletons"])
+def test_candidates_are_counted_once(spark, name):
+    """What is read several times is written first."""
+    assert "MapInArrow" not in catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()

@@ -68,3 +68,12 @@ def test_candidates_meet_the_truth_without_a_shuffle(spark, name):
 def test_candidates_are_counted_once(spark, name):
     """What is read several times is written first."""
     assert "MapInArrow" not in catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_pairs_are_never_the_side_that_is_sent_to_all(spark, monkeypatch, few):
+    from kithlink.operators import features
+
+    monkeypatch.setattr(features, "BROADCAST_RECORDS", few)
+    plan = catalog.fe05_features_in_sql(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and ("SortMergeJoin" in plan) == (not few)

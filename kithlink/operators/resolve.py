@@ -45,7 +45,7 @@ def matches(scored: DataFrame, threshold: float, entities: DataFrame, order: str
     hits = scored.filter(F.col("prob") >= threshold)
     rank = F.col(order) if order else F.col("candidate_id")
     lists = hits.groupBy("source1_id").agg(F.sort_array(F.collect_set(F.struct(rank.alias("o"), F.col("candidate_id")))).alias("m"))
-    done = entities.select("source1_id").distinct().join(lists, "source1_id", "left")
+    done = entities.select("source1_id").distinct().join(lists.hint("merge"), "source1_id", "left")  # Spark can't guess how long the lists are
     return done.select("source1_id", F.coalesce(F.transform("m", lambda x: x["candidate_id"]), F.array().cast("array<string>")).alias("matched"))
 
 

@@ -77,3 +77,8 @@ def test_pairs_are_never_the_side_that_is_sent_to_all(spark, monkeypatch, few):
     monkeypatch.setattr(features, "BROADCAST_RECORDS", few)
     plan = catalog.fe05_features_in_sql(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "BuildLeft" not in plan and ("SortMergeJoin" in plan) == (not few)
+
+
+def test_match_lists_are_not_sent_to_all(spark):
+    plan = catalog.jn09_matches(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

@@ -309,6 +309,19 @@ def test_recall_of_like_lines(spark):
     assert dropped <= set(range(n, 2 * n)) and len(dropped) >= 0.97 * n
 
 
+def test_like_lines_that_share_frequent_windows_only(spark):
+    """Two windows of ten in common, both in more than 32 lines; everything else has a letter changed."""
+    pick = random.Random(4)
+    word = lambda n=10: "".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    start = f"{word()} {word()}"
+    lines = [f"{start} abc{word(7)} {' '.join(word() for _ in range(8))}" for _ in range(60)]
+    words = lines[7].split(" ")
+    lines.append(" ".join(words[:2] + [w[:6] + "0" + w[7:] for w in words[2:]]))
+    assert 0.9 <= 1 - _distance(lines[7], lines[60]) / len(lines[7]) < 0.95
+    rows = dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in rows if r["n_dropped"]) == [60]
+
+
 def _hits(text, items):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
     words, hit, names = split(text), set(), set()

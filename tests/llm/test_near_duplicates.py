@@ -161,6 +161,20 @@ def test_a_whole_passage_is_found_whoever_holds_its_parts(spark):
         assert [(r["doc_id"], r["source_id"], r["start_word"], r["end_word"]) for r in got] == [(6, 3, 30, 110)]
 
 
+@pytest.mark.parametrize("few", [16, 3, 2])
+def test_a_changed_passage_is_found_whoever_holds_its_seeds_first_and_before(spark, monkeypatch, few):
+    """Every seed of the passage has other holders first and in between; with `few` below their number it is a frequent one."""
+    monkeypatch.setattr("kithlink.llm.passages.FEW", few)
+    pick = random.Random(few)
+    passage = _words(60, pick)
+    copy = [w + "x" if k in (15, 30, 45) else w for k, w in enumerate(passage)]
+    parts = [passage[k:k + 14] for k in range(0, 47, 5)]
+    texts = [*parts, passage, *parts, copy, _words(20, pick)]
+    rows = [(i, " ".join(_words(30, pick) + part + _words(30, pick))) for i, part in enumerate(texts)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert [(r["doc_id"], r["source_id"], r["start_word"], r["end_word"], r["matched_words"]) for r in got] == [(21, 10, 30, 90, 57)]
+
+
 @pytest.mark.parametrize("words, changed, least", [(50, 4, 0.95), (50, 5, 0.95), (60, 9, 0.75), (100, 15, 0.95)])
 def test_recall_of_changed_passages(spark, words, changed, least):
     pick, rows, n = random.Random(words + changed), [], 60

@@ -336,6 +336,45 @@ def test_like_lines_that_share_frequent_windows_only(spark):
     assert sorted(r["doc_id"] for r in rows if r["n_dropped"]) == [60]
 
 
+def test_lines_of_other_letters_are_not_compared(spark, monkeypatch):
+    """All lines share a window; most have so many other letters that no edits within the bound make up for it. Letters saturate at 255."""
+    from kithlink.llm import lines as module
+
+    pick, compared = random.Random(9), []
+    word = lambda letters: "".join(pick.choice(letters) for _ in range(9))
+    texts = [f"abcdefghij bcdefghijk {' '.join(word(letters) for _ in range(9))}" for letters in ["eta", "noi", "rhx", "exo", "tir", "ahn", "xyz", "enh"] for _ in range(6)]
+    texts += [texts[5][:60] + "xyzxyz" + texts[5][66:], "e" * 600 + "tn" * 30, "e" * 540 + "tn" * 30]
+    real = module._alike_in_tiles
+
+    def spy(strays, *rest):
+        compared.extend((r["node"], other) for r in strays.collect() for other in r["others"])
+        return real(strays, *rest)
+
+    monkeypatch.setattr(module, "_alike_in_tiles", spy)
+    rows = dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), min_words=1).collect()
+    assert sorted(r["doc_id"] for r in rows if r["n_dropped"]) == [48, 50]
+    assert len(compared) < 49 * 48 / 2 / 3
+
+
+def test_letter_counts_reject_no_line_within_the_bound(spark):
+    from pyspark.sql import functions as F
+
+    from kithlink.llm.lines import _counts, _may_be_like
+
+    pick, pairs = random.Random(3), []
+    for _ in range(400):
+        line = [pick.choice("etanoirhsdlu é") for _ in range(pick.choice([10, 30, 100, 900]))]
+        copy = list(line)
+        for _ in range(int(0.1 * len(line))):
+            at, kind = pick.randrange(len(copy)), pick.randrange(3)
+            copy[at:at + 1] = [[], ["e"], [copy[at], pick.choice("et\u0436")]][kind]
+        pairs.append(("".join(line), "".join(copy)))
+    met = spark.createDataFrame(pairs, "x string, y string")
+    length, most = F.greatest(F.length("x"), F.length("y")), F.levenshtein("x", "y")
+    met = met.filter(most <= 0.1 * length).select(_may_be_like(F.length("x"), _counts(F.col("x")), F.length("y"), _counts(F.col("y")), 0.9).alias("may"))
+    assert met.count() > 300 and met.filter("not may").isEmpty()
+
+
 def _hits(text, items):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
     words, hit, names = split(text), set(), set()

@@ -17,7 +17,7 @@ from kithlink.functions import address as A
 from kithlink.functions import phonetic as P
 from kithlink.functions import text as T
 from kithlink.functions.dictionaries import ADDRESS_STOPWORDS, NAME_STOPWORDS
-from kithlink.operators.postings import REFERENCE, best_candidates
+from kithlink.operators.postings import REFERENCE, best_candidates, best_hybrid
 
 MAX_CANDIDATES = 200
 
@@ -178,6 +178,11 @@ def block(records: DataFrame, profile: str = "main", k: int = MAX_CANDIDATES, co
     return best_candidates(key_lists(records, profile, config), k)
 
 
+def block_hybrid(records: DataFrame, by_vectors: DataFrame, k: int = MAX_CANDIDATES, k_keys: int = MAX_CANDIDATES, profile: str = "main", config: dict | None = None) -> DataFrame:
+    """hybrid_candidates of block() with k_keys candidates and by_vectors, but for the candidates by keys, which never cross a shuffle."""
+    return best_hybrid(key_lists(records, profile, config), by_vectors, k_keys, k)
+
+
 def index_size(keys: DataFrame) -> DataFrame:
     """Number of distinct keys of the index."""
     return keys.agg(F.countDistinct("key").alias("index_size"))

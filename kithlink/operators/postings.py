@@ -9,6 +9,7 @@ that meets. Keys are compared by 64-bit hashes. The checkpoint folder must be a
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -254,8 +255,54 @@ def _totals(references: References, files: list[str]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*there)], ["source", "pairs", "shared", "most"])
 
 
-def _per_reference(lists: DataFrame, work, schema: str) -> DataFrame:
-    """work(references, files, whether an id of a source has several rows) over all reference records, some thousand at a time."""
+def _by_reference(found: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(reference, [(shared, source, candidate)]) of what _best yields."""
+    name, held = None, []
+    for batch in found:
+        for one, *row in zip(*(batch[c].to_pylist() for c in ("source1_id", "shared", "source", "candidate_id"))):
+            if held and one != name:
+                yield name, held
+                held = []
+            name = one
+            held.append(row)
+    if held:
+        yield name, held
+
+
+def _with_near(found: Iterator[pa.RecordBatch], near: dict, k: int) -> Iterator[pa.RecordBatch]:
+    """Of each reference the best k of its candidates by keys, most shared first, and of near: reference -> [{source, candidate_id, similarity}]."""
+    done: list[tuple] = []
+
+    def best(name, rows: list, close: list[dict]) -> Iterator[tuple]:
+        similar = {(c["source"], c["candidate_id"]): c["similarity"] for c in close}
+        if len(rows) > k:
+            least = rows[k - 1][0]
+            rows = [row for row in rows if row[0] >= least]
+        rows = [(-shared, source, c, similar.pop((source, c), None)) for shared, source, c in rows]
+        rows += [(0, source, c, similarity) for (source, c), similarity in similar.items()]
+        value = lambda x: (1, 0.0) if x is None else (0, -x if x == x else -math.inf)  # noqa: E731 - not a number comes first, as in Spark
+        rows.sort(key=lambda row: (row[0], value(row[3]), row[1] is not None, row[1] or "", row[2] is not None, row[2] or ""))
+        return ((name, source, c, -shared, similarity, i) for i, (shared, source, c, similarity) in enumerate(rows[:k], 1))
+
+    def out(most: int) -> Iterator[pa.RecordBatch]:
+        while len(done) > most:
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*done[:OUT_ROWS]), kinds)], ["source1_id", "source", "candidate_id", "shared", "similarity", "rank"])
+            del done[:OUT_ROWS]
+
+    for name, rows in _by_reference(found):
+        done += best(name, rows, near.pop(name, []))
+        yield from out(OUT_ROWS)
+    for name, close in near.items():
+        done += best(name, [], close)
+    yield from out(0)
+
+
+def _per_reference(lists: DataFrame, work, schema: str, near: DataFrame | None = None) -> DataFrame:
+    """work(references, files, whether an id of a source has several rows) over all reference records, some thousand at a time.
+
+    near: (id, near), which goes with the record of this id to work as a fourth argument, a dict; ids without a record come too.
+    """
     spark = ship(lists.sparkSession)
     hashed = F.transform("keys", lambda key: F.when(key.isNotNull(), F.xxhash64(key)))
     records = lists.select("source", F.col("id").cast("string").alias("id"), F.struct(F.col("row").cast("long").alias("row"), hashed.alias("keys")).alias("r")).filter("source is not null and r.keys is not null")
@@ -265,18 +312,27 @@ def _per_reference(lists: DataFrame, work, schema: str) -> DataFrame:
     files = sorted(others.inputFiles(), key=lambda uri: uri.rsplit("/", 1)[-1])  # numbered in order by Spark
     repeated = (size["most"] or 0) > 1
 
+    def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        more = [dict((name, close) for name, close in zip(rows["id"].to_pylist(), rows["near"].to_pylist()) if close)] if "near" in rows.schema.names else []
+        yield from work(References(rows), files, repeated, *more)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
             held.append(batch)
             n += batch.num_rows
             if n >= REFERENCES:
-                yield from work(References(pa.Table.from_batches(held).combine_chunks().to_batches()[0]), files, repeated)
+                yield from done(held)
                 held, n = [], 0
         if n:
-            yield from work(References(pa.Table.from_batches(held).combine_chunks().to_batches()[0]), files, repeated)
+            yield from done(held)
 
     left = records.filter(F.col("source") == REFERENCE).select("id", "rows")
+    if near is not None:
+        beside = near.select(F.col("id").alias("near_id"), "near")
+        none = F.array().cast(left.schema["rows"].dataType)
+        left = left.join(beside, F.col("id").eqNullSafe(F.col("near_id")), "full").select(F.coalesce("id", "near_id").alias("id"), F.coalesce("rows", none).alias("rows"), "near")
     parts = max(1, min(spark.sparkContext.defaultParallelism * 2, size["left"] // 64), -(-size["left"] // REFERENCES))
     return left.repartition(parts).mapInArrow(run, schema)
 
@@ -289,6 +345,17 @@ def best_candidates(lists: DataFrame, k: int) -> DataFrame:
     return _per_reference(lists, lambda r, files, repeated: (_best_of_repeated if repeated else _best)(r, files, k), "source1_id string, candidate_id string, source string, shared long, rank int")
 
 
+def best_hybrid(lists: DataFrame, near: DataFrame, k_keys: int, k: int) -> DataFrame:
+    """(source1_id, source, candidate_id, shared, similarity, rank): the best k of best_candidates(lists, k_keys) and near (source1_id, source, candidate_id, similarity) together.
+
+    Each pair once, by shared keys, then similarity, source and id. What is near goes to its reference record, so no candidate crosses a shuffle.
+    """
+    once = near.groupBy("source1_id", "source", "candidate_id").agg(F.max("similarity").cast("double").alias("similarity"))
+    close = once.groupBy(F.col("source1_id").alias("id")).agg(F.collect_list(F.struct("source", "candidate_id", "similarity")).alias("near"))
+    schema = "source1_id string, source string, candidate_id string, shared long, similarity double, rank int"
+    return _per_reference(lists, lambda r, files, repeated, beside: _with_near((_best_of_repeated if repeated else _best)(r, files, k_keys), beside, k), schema, close)
+
+
 def pair_totals(lists: DataFrame) -> DataFrame:
     """(source, pairs, shared, most): pairs of a reference record and one of the source that share a key, the keys shared in all, and by one pair at most."""
     some = _per_reference(lists, lambda r, files, _: _totals(r, files), "source string, pairs long, shared long, most long")

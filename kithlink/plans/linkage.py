@@ -33,11 +33,10 @@ class Linkage:
         """Always of the given records; with a vector column also their nearest neighbours."""
         k = self.blocking.get("max_candidates_per_source1", blocking.MAX_CANDIDATES)
         known = {c: v for c, v in self.blocking.items() if c in blocking.DEFAULTS}
-        found = blocking.block(records, self.profile, k, known)
         if self.profile == "evaluate" or "vector" not in records.columns or not self.blocking.get("use_embedding_blocking", True):
-            return found.select("source1_id", "candidate_id", "source")
+            return blocking.block(records, self.profile, k, known).select("source1_id", "candidate_id", "source")
         near = nearest(records.filter("source = 'source1'"), records.filter("source <> 'source1'"), self.blocking.get("neighbours", 60))
-        return blocking.hybrid_candidates(found, near, k).select("source1_id", "candidate_id", "source")
+        return blocking.block_hybrid(records, near, k, k, self.profile, known).select("source1_id", "candidate_id", "source")
 
     def matrix(self, pairs: DataFrame, records: DataFrame) -> DataFrame:
         return feature_matrix(pairs, with_tfidf(records, self.profile, vocabularies=self.vocabularies), self.profile)

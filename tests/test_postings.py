@@ -31,6 +31,28 @@ def test_candidates_equal_those_of_joined_pairs(spark, repeated):
     assert sorted(map(str, postings.pair_totals(lists).collect())) == sorted(map(str, totals.collect()))
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_hybrid_candidates_equal_those_of_merged_tables(spark, repeated):
+    """Also with references that have neighbours only, ids of no record, repeated pairs, nulls and similarities that are no number."""
+    pick, rows = random.Random(6), _lists(5, repeated)
+    names = [r[1] for r in rows if r[0] == "source1"]
+    others = [(r[0], r[1]) for r in rows if r[0] in ("source2", "source3")] + [("source3", "new")]
+    near = [(pick.choice([*names, "none", "far", None]), *pick.choice(others), pick.choice([0.5, 0.25, float("nan"), pick.random()])) for _ in range(300)]
+    near = spark.createDataFrame(near, "source1_id string, source string, candidate_id string, similarity double")
+    lists = spark.createDataFrame(rows, LISTS)
+    columns = ["source1_id", "source", "candidate_id", "shared", "similarity", "rank"]
+    for k_keys, k in ((200, 200), (20, 8), (3, 6)):
+        want = blocking.hybrid_candidates(postings.best_candidates(lists, k_keys), near, k).select(columns)
+        assert sorted(map(str, postings.best_hybrid(lists, near, k_keys, k).collect())) == sorted(map(str, want.collect()))
+
+
+def test_hybrid_candidates_cross_no_shuffle(spark):
+    """Above the candidates by keys, whose schema ends with the similarity, there is no exchange, window or aggregate."""
+    plan = catalog.jn04_hybrid_candidates(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("MapInArrow")]
+    assert not any(x in above for x in ("Window", "Aggregate", "Join", "Sort"))
+
+
 def test_no_pairs_cross_a_shuffle(spark):
     for df in (catalog.sl01_top_candidates(spark, "/root/testdata/sf0.001"), catalog.jn02_candidate_counts(spark, "/root/testdata/sf0.001")):
         assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()

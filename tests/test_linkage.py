@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kithlink.operators import blocking, metrics, neighbours, resolve, tfidf, validate
 from kithlink.operators.features import feature_matrix, feature_names
-from kithlink.operators.models import BalancedLogistic, BoostedTrees, CrossEncoder, Ensemble
+from kithlink.operators.models import KINDS, BalancedLogistic, BoostedTrees, CrossEncoder, Ensemble
 from kithlink.operators.neighbours import nearest, nearest_approximate
 from kithlink.plans.linkage import Linkage, evaluate
 from kithlink.sources import tsv
@@ -173,6 +173,24 @@ def test_ensemble(spark, tmp_path):
     assert BalancedLogistic(max_iter=50).fit(matrix).probabilities(matrix).filter("(prob >= 0.5) = (label = 1)").count() > 100
 
 
+def test_ensemble_query_fits_whole_learners(spark, monkeypatch):
+    """500 trees of depth 8 each, as the reference's configuration has them."""
+    from kithlink.plans import catalog
+
+    def fit(self, rows, configs):
+        raise InterruptedError(configs)
+
+    monkeypatch.setattr(catalog, "_training", lambda *_: None)
+    monkeypatch.setattr(Ensemble, "fit", fit)
+    with pytest.raises(InterruptedError) as said:
+        catalog.ml07_ensemble(spark, "nowhere")
+    used = {c["name"]: c["params"] for c in said.value.args[0] if c.get("use", True)}
+    assert [(p["n_estimators"], p["max_depth"], p["learning_rate"]) for p in (used["xgboost"], used["lightgbm"])] == [(500, 8, 0.05)] * 2
+    assert (used["catboost"]["iterations"], used["catboost"]["depth"]) == (500, 8)
+    trees = {n: KINDS[n](n, p).learner() for n, p in used.items()}
+    assert [trees[n].getMaxIter() for n in ("xgboost", "lightgbm")] == [500, 500] and trees["catboost"].getNumTrees() == 500
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "source1_train.tsv").write_text('entity_id\tbusiness_name\tbusiness_address\textra\n007\t"a ""q"" b"\tNA\tx\nS1-2\t\t 5 st \ty\n')
     for name in ("train_source2.tsv", "source3_train.tsv"):

@@ -112,3 +112,16 @@ def test_fold_takes_every_letter(spark):
         n = unicodedata.normalize("NFKC", t)
         assert r["m"] == "".join(c for c in unicodedata.normalize("NFKD", n) if not unicodedata.combining(c))
         assert r["e"] == "".join(c for c in unicodedata.normalize("NFD", n) if unicodedata.category(c) != "Mn")
+
+
+def test_jaro_winkler_of_bytes_equals_that_of_letters():
+    import random
+
+    from kithlink.functions import similarity
+
+    pick = random.Random(4)
+    for _ in range(3000):
+        a, b = ("".join(pick.choice("abc d1") for _ in range(pick.randint(1, 14))) for _ in "xy")
+        for reach in (0, 1, 3, 6):
+            assert similarity._matches_of_bytes(a, b, reach) == tuple([x if isinstance(x, int) else ord(x) for x in found] for found in similarity._matches(a, b, reach))
+    assert similarity._matches_of_bytes("\u00e9", "e", 1) is None and similarity._matches_of_bytes("a\0", "a", 1) is None

@@ -101,6 +101,23 @@ def test_pairs_are_never_the_side_that_is_sent_to_all(spark, monkeypatch, few):
     assert "BuildLeft" not in plan and ("SortMergeJoin" in plan) == (not few)
 
 
+@pytest.mark.parametrize("profile", ["main", "evaluate"])
+def test_features_in_blocks_equal_those_of_all_at_once(spark, monkeypatch, profile):
+    """Also with ids that several records have, of no record, and null."""
+    from kithlink.operators import features
+
+    rows = catalog.records(spark, "/root/testdata/sf0.001")
+    rows = features.with_tfidf(rows.unionByName(rows.filter("row % 50 = 1").withColumn("source", F.lit("source3"))), profile).cache()
+    odd = spark.createDataFrame([("S1-0", "S2-none", "source2"), ("S1-0", None, "source2"), (None, "S2-1", "source2"), ("S1-none", "S2-1", "source2")], "source1_id string, candidate_id string, source string")
+    pairs = catalog._pairs(spark, "/root/testdata/sf0.001", profile).filter("hash(source1_id) % 5 = 0").unionByName(odd).cache()
+    whole = features.feature_matrix(pairs, rows, profile)
+    monkeypatch.setattr(features, "BROADCAST_VECTORS", 30)
+    parts = features.feature_matrix(pairs, rows, profile)
+    assert parts.columns == whole.columns and whole.count() > 300
+    assert "Join" not in parts._jdf.queryExecution().optimizedPlan().toString()  # no pair is shuffled with what features read
+    assert parts.exceptAll(whole).isEmpty() and whole.exceptAll(parts).isEmpty()
+
+
 def test_match_lists_are_not_sent_to_all(spark):
     plan = catalog.jn09_matches(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

@@ -191,6 +191,34 @@ def test_ensemble_query_fits_whole_learners(spark, monkeypatch):
     assert [trees[n].getMaxIter() for n in ("xgboost", "lightgbm")] == [500, 500] and trees["catboost"].getNumTrees() == 500
 
 
+def test_logistic_equals_spark_and_caches_nothing(spark, tmp_path, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from kithlink.operators.features import assembled
+
+    pick = random.Random(9)
+    rows = [(pick.gauss(i % 4 == 0, 0.6) * 100, pick.random() + (i % 4 == 0), 7.0, int(i % 4 == 0)) for i in range(400)]
+    matrix = spark.createDataFrame(rows, "name_a double, addr_b double, cross_c double, label int")
+    held = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before, most = held(), []
+    from kithlink.operators import models
+
+    slopes = models._slopes
+    monkeypatch.setattr(models, "_slopes", lambda *args: (most.append(held()), slopes(*args))[1])
+    model = BalancedLogistic().fit(matrix)
+    assert 2 < len(most) < 30 and max(most) <= before
+    scaled = assembled(matrix.withColumns({n: (F.col(n) - m) / s for n, (m, s) in model.scale.items()}), model.names).withColumn("w", F.when(F.col("label") == 1, 2.0).otherwise(400 / 600))
+    spark_ml = LogisticRegression(weightCol="w", regParam=1 / 400, standardization=False, maxIter=1000, tol=1e-12).fit(scaled)
+    want = [r["p"] for r in spark_ml.transform(scaled).select(vector_to_array("probability")[1].alias("p")).collect()]
+    assert [r["prob"] for r in model.probabilities(matrix).collect()] == pytest.approx(want, abs=1e-6)
+    model.save(f"{tmp_path}/l")
+    assert BalancedLogistic.load(f"{tmp_path}/l").probabilities(matrix).collect() == model.probabilities(matrix).collect()
+    ones = matrix.filter("label = 1")
+    assert {r["prob"] for r in BalancedLogistic().fit(ones).probabilities(ones).collect()} == {1.0}
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "source1_train.tsv").write_text('entity_id\tbusiness_name\tbusiness_address\textra\n007\t"a ""q"" b"\tNA\tx\nS1-2\t\t 5 st \ty\n')
     for name in ("train_source2.tsv", "source3_train.tsv"):

@@ -111,7 +111,7 @@ def test_features_in_blocks_equal_those_of_all_at_once(spark, monkeypatch, profi
     odd = spark.createDataFrame([("S1-0", "S2-none", "source2"), ("S1-0", None, "source2"), (None, "S2-1", "source2"), ("S1-none", "S2-1", "source2")], "source1_id string, candidate_id string, source string")
     pairs = catalog._pairs(spark, "/root/testdata/sf0.001", profile).filter("hash(source1_id) % 5 = 0").unionByName(odd).cache()
     whole = features.feature_matrix(pairs, rows, profile)
-    monkeypatch.setattr(features, "BROADCAST_VECTORS", 30)
+    monkeypatch.setattr(features, "BROADCAST_VECTORS", rows.count() // 2 + 1)
     parts = features.feature_matrix(pairs, rows, profile)
     assert parts.columns == whole.columns and whole.count() > 300
     assert "Join" not in parts._jdf.queryExecution().optimizedPlan().toString()  # no pair is shuffled with what features read
